@@ -7,7 +7,21 @@ the chain up to the table ``silver``.
 from __future__ import annotations
 
 from curate import fixed_values as fixed
-from curate.operators.quality import ATTENDANCE_RULES
+
+# The quality rules once more: name, severity, note, where they apply, what passes.
+_DAYS = "(number_of_days + days_attended + days_absent) IS NOT NULL"
+_RULES = tuple(
+    (name, severity, note, applies, passes)
+    for (name, severity, _, _, note), (applies, passes) in zip(
+        fixed.ROW_RULES,
+        (
+            ("true", _DAYS),
+            ("true", "course_date IS NOT NULL"),
+            ("length(trim(coalesce(age_raw, ''))) > 0", "age_clean IS NOT NULL"),
+            (_DAYS, "number_of_days - days_attended - days_absent = 0"),
+        ),
+    )
+)
 
 # Each step: name -> (names of the steps it needs, SQL).
 _STEPS: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -151,11 +165,11 @@ def _quote(text: str) -> str:
 
 def _rule_rows() -> str:
     return "\nUNION ALL\n".join(
-        f"""SELECT {_quote(r.name)} AS rule_name, {_quote(r.severity)} AS severity,
-  {_quote(r.note)} AS rule_note,
-  count(*) FILTER (WHERE {r.applicable}) AS rows_evaluated,
-  count(*) FILTER (WHERE ({r.applicable}) AND ({r.passes})) AS rows_passed FROM staged"""
-        for r in ATTENDANCE_RULES
+        f"""SELECT {_quote(name)} AS rule_name, {_quote(severity)} AS severity,
+  {_quote(note)} AS rule_note,
+  count(*) FILTER (WHERE {applies}) AS rows_evaluated,
+  count(*) FILTER (WHERE ({applies}) AND ({passes})) AS rows_passed FROM staged"""
+        for name, severity, note, applies, passes in _RULES
     )
 
 
@@ -431,7 +445,7 @@ ORACLE: dict[str, str] = {
     "src_table": _with("silver") + "SELECT * FROM silver",
     "sink_replace": _with("silver") + "SELECT * FROM silver",
     "sink_append": _with("report")
-    + "SELECT * FROM report UNION ALL SELECT * REPLACE ('run-0' AS run_id, NULL AS pass_rate) FROM report",
+    + "SELECT * FROM report UNION ALL SELECT * REPLACE ('run-0' AS run_id, '2024-08-01 12:00:00' AS run_ts, NULL AS pass_rate) FROM report",
     "clean_headers": _with("feed") + f"SELECT {_RAW} FROM feed",
     "header_tags": _with("feed")
     + "SELECT 'fileno' AS \"column\", 'CONFIDENTIAL' AS tag, count(fileno) AS filled_rows FROM feed "
@@ -489,7 +503,7 @@ FROM (SELECT *, {_int('age_raw')} AS age FROM feed)""",
     + "SELECT rule_name, rows_evaluated, rows_passed, rows_evaluated - rows_passed AS rows_failed FROM rule_lines",
     "dq_clean": _with("staged")
     + "SELECT fileno, course_date, age_clean FROM staged WHERE "
-    + " AND ".join(f"(NOT ({r.applicable}) OR ({r.passes}))" for r in ATTENDANCE_RULES),
+    + " AND ".join(f"(NOT ({applies}) OR ({passes}))" for _, _, _, applies, passes in _RULES),
     "dq_dedup_exact": _with("report")
     + "SELECT rule_name, rows_in, rows_evaluated, rows_passed, rows_failed FROM report "
     f"WHERE rule_name = '{fixed.EXACT_RULE[0]}'",
@@ -519,8 +533,10 @@ FROM (SELECT *, {_int('age_raw')} AS age FROM feed)""",
     "expectations_kept": _with("staged")
     + "SELECT fileno, course_date, is_age_valid FROM staged WHERE course_date IS NOT NULL",
     "build_docs": _with("doc_texts") + "SELECT * FROM doc_texts",
-    "pii_exclude": _with("silver")
-    + "SELECT count(*) AS documents, CAST(0 AS BIGINT) AS documents_with_name FROM silver",
+    "pii_exclude": _with("doc_texts")
+    + """SELECT count(*) AS documents,
+  count(*) FILTER (WHERE contains(concat(text, to_json(t)), applicant)) AS documents_with_name
+FROM doc_texts t JOIN (SELECT fileno, applicant FROM gold) ON doc_id = fileno""",
     "cite": _with("docs") + f"SELECT doc_id, {_CITATION} AS citation FROM docs",
     "embed_documents": _vec_text("documents", "documents"),
     "embed_gold": _vec_text("gold", "docs"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from curate import fixed_values as fixed
 from curate.functions.dates import parse_mixed_date
 from curate.functions.rates import band, exact_rate, safe_rate
+from curate.functions.sizes import checked_broadcast
 from curate.functions.text import intent
 from curate.functions.vectors import cosine
 from curate.operators import aggregate, answers, dedup, governance, headers, layout, quality
@@ -55,8 +56,17 @@ def staged(spark, sf):
     return medallion.counted_records(attendance_feed(spark, sf))
 
 
-def report(spark, sf, run_id=RUN_ID, run_ts=RUN_TS):
-    return quality.dq_report(staged(spark, sf), run_id, run_ts, DATASET)
+def report(spark, sf):
+    return quality.dq_report(staged(spark, sf), RUN_ID, RUN_TS, DATASET)
+
+
+def two_runs(spark, sf):
+    """The reports of a run a month ago and of this one, from one staged table."""
+    path = work_path(spark, "staged")
+    tables.write_replace(staged(spark, sf), path)
+    rows = spark.read.parquet(path)
+    earlier = quality.dq_report(rows, "run-0", datetime(2024, 8, 1, 12, 0, 0), DATASET)
+    return earlier, quality.dq_report(rows, RUN_ID, RUN_TS, DATASET)
 
 
 def ts_text(df: DataFrame) -> DataFrame:
@@ -105,9 +115,11 @@ def sink_replace(spark, sf):
 
 @query
 def sink_append(spark, sf):
+    """The earlier run's lines lack a column that the later run brings."""
     path = work_path(spark, "log")
-    tables.append_log(report(spark, sf, "run-0").drop("pass_rate"), path)
-    tables.append_log(report(spark, sf), path)
+    earlier, latest = two_runs(spark, sf)
+    tables.append_log(earlier.drop("pass_rate"), path)
+    tables.append_log(latest, path)
     return ts_text(tables.read_log(spark, path))
 
 
@@ -331,16 +343,16 @@ def pass_rate(spark, sf):
 @query
 def dq_log(spark, sf):
     path = work_path(spark, "dq-log")
-    tables.append_log(report(spark, sf, "run-0", datetime(2024, 8, 1, 12, 0, 0)), path)
-    tables.append_log(report(spark, sf), path)
+    for lines in two_runs(spark, sf):
+        tables.append_log(lines, path)
     return ts_text(tables.read_log(spark, path))
 
 
 @query
 def dq_alerts(spark, sf):
     path = work_path(spark, "dq-log")
-    tables.append_log(report(spark, sf, "run-0", datetime(2024, 8, 1, 12, 0, 0)), path)
-    tables.append_log(report(spark, sf), path)
+    for lines in two_runs(spark, sf):
+        tables.append_log(lines, path)
     log = tables.read_log(spark, path)
     return ts_text(quality.alerts(log, now=datetime(2024, 9, 1, 18, 0, 0)))
 
@@ -409,7 +421,7 @@ def _anchors(vectors: DataFrame) -> DataFrame:
 @query
 def cosine_to_anchor(spark, sf):
     vectors = table(spark, sf, "embeddings")
-    pairs = vectors.join(_anchors(vectors), "label")
+    pairs = vectors.join(checked_broadcast(_anchors(vectors)), "label")
     return pairs.select(
         "vec_id", "anchor_id", F.round(cosine("embedding", "anchor"), 4).alias("score")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curate import fixed_values as fixed
@@ -9,7 +11,7 @@ from curate.functions.rates import percent_text
 from curate.functions.text import fill, intent
 from curate.operators.documents import citation
 from curate.operators.embed import Encoder, embed
-from curate.operators.knn import knn_join
+from curate.operators.knn import few_hits, knn_join, shareable
 
 
 def _fields(metadata: Column, rate_unknown: str) -> dict[str, Column]:
@@ -18,23 +20,26 @@ def _fields(metadata: Column, rate_unknown: str) -> dict[str, Column]:
     return values
 
 
-def with_metadata(hits: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Hits with the metadata of their documents. Where ``knn_join`` knows the
-    hits to be few, they travel and the documents do not."""
-    return hits.join(corpus.select("doc_id", "metadata"), "doc_id")
-
-
-def retrieved(hits: DataFrame) -> DataFrame:
+def retrieved(hits: DataFrame, corpus: DataFrame, few: bool = False) -> DataFrame:
     """Per question: best score, first document, and the rated documents with
-    the lowest and highest rate (ties go to the better rank)."""
-    rated = F.col("metadata.rate").isNotNull()
-    worst = F.when(rated, F.struct("metadata.rate", "rank"))
-    best = F.when(rated, F.struct(-F.col("metadata.rate"), "rank"))
-    return hits.groupBy("question_id").agg(
-        F.max("score").alias("score"),
-        F.min_by("metadata", "rank").alias("first"),
-        F.min_by("metadata", worst).alias("low"),
-        F.min_by("metadata", best).alias("high"),
+    the lowest and highest rate (ties go to the better rank).
+
+    Hits marked ``extreme`` are the answer to a superlative over the whole
+    corpus and stand in for both. ``few`` says the hits are known to be few:
+    then they travel and the documents do not.
+    """
+    side = F.broadcast(hits) if few else hits
+    found = side.join(corpus.select("doc_id", "metadata"), "doc_id")
+    among = ~F.col("extreme")
+    rate = F.col("metadata.rate")
+    worst = F.when(among & rate.isNotNull(), F.struct(rate, "rank"))
+    best = F.when(among & rate.isNotNull(), F.struct(-rate, "rank"))
+    whole = F.max(F.when(F.col("extreme"), F.col("metadata")))
+    return found.groupBy("question_id").agg(
+        F.max(F.when(among, F.col("score"))).alias("score"),
+        F.min_by("metadata", F.when(among, F.col("rank"))).alias("first"),
+        F.coalesce(whole, F.min_by("metadata", worst)).alias("low"),
+        F.coalesce(whole, F.min_by("metadata", best)).alias("high"),
     )
 
 
@@ -82,24 +87,11 @@ def compose(
     )
 
 
-def _whole_corpus_extremes(questions: DataFrame, corpus: DataFrame, whole_words: bool) -> DataFrame:
-    """(question_id, extreme) for superlatives over all documents.
-
-    The extreme rates are an aggregate; only documents at an extreme are
-    searched, for the one that fits the question best.
-    """
-    rate = F.col("metadata.rate")
-    wanted = intent("question", whole_words)
-
-    def fitting(word: str, end: Column) -> DataFrame:
-        # The broadcast side is one row, whatever the corpus.
-        edge = F.broadcast(corpus.agg(end.alias("edge")))
-        at_edge = corpus.join(edge, rate == F.col("edge")).drop("edge")
-        asked = questions.where(wanted == word).withColumn("k", F.lit(1))
-        return with_metadata(knn_join(asked, at_edge), at_edge)
-
-    found = fitting("lowest", F.min(rate)).unionByName(fitting("highest", F.max(rate)))
-    return found.select("question_id", F.col("metadata").alias("extreme"))
+def _asked_about_all(asked: DataFrame, shared: pa.Table | None, word: str) -> DataFrame | pa.Table:
+    """Questions for the ``word`` record of the whole corpus."""
+    if shared is None:
+        return asked.where(F.col("whole") & (F.col("wanted") == word))
+    return shared.filter(pc.field("whole") & (pc.field("wanted") == word))
 
 
 def answer_all(
@@ -112,23 +104,30 @@ def answer_all(
     """Answer every row of ``questions`` (question_id, question, k) from
     ``corpus`` (doc_id, vec, metadata), the stored vector table.
 
-    A NULL ``k`` asks for the whole corpus: its lookup is still the best hit,
-    and its superlative is an aggregate instead of a retrieval of everything.
+    A NULL ``k`` asks for the whole corpus. Its lookup is still the best hit,
+    but its superlative is an aggregate, not a retrieval of everything: only
+    the documents at the extreme rate are searched, for the one that fits the
+    question best.
     """
-    asked = embed(questions, "question", encoder=encoder)
-    whole = asked.where(F.col("k").isNull())
-    hits = knn_join(asked.withColumn("k", F.coalesce("k", F.lit(1))), corpus)
-    found = retrieved(with_metadata(hits, corpus))
-    extremes = _whole_corpus_extremes(whole, corpus, whole_words)
-    # A whole-corpus question has one kind, so its extreme may stand for both.
-    merged = found.join(extremes, "question_id", "left").select(
+    asked = embed(questions, "question", encoder=encoder).select(
         "question_id",
-        "score",
-        "first",
-        F.coalesce("extreme", "low").alias("low"),
-        F.coalesce("extreme", "high").alias("high"),
+        "vec",
+        F.coalesce("k", F.lit(1)).cast("int").alias("k"),
+        F.col("k").isNull().alias("whole"),
+        intent("question", whole_words).alias("wanted"),
     )
-    return compose(questions, merged, threshold, whole_words)
+    shared = shareable(asked)
+    source = asked if shared is None else shared
+    hits = knn_join(source, corpus).withColumn("extreme", F.lit(False))
+    rate = F.col("metadata.rate")
+    for word, end in (("lowest", F.min(rate)), ("highest", F.max(rate))):
+        # One row, whatever the corpus.
+        edge = F.broadcast(corpus.agg(end.alias("edge")))
+        at_edge = corpus.join(edge, rate == F.col("edge")).select("doc_id", "vec")
+        best = knn_join(_asked_about_all(asked, shared, word), at_edge)
+        hits = hits.unionByName(best.withColumn("extreme", F.lit(True)))
+    found = retrieved(hits, corpus, few_hits(shared))
+    return compose(questions, found, threshold, whole_words)
 
 
 def calibrate(scored: DataFrame, score: str = "top_score", answerable: str = "answerable") -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 
 from curate.fixed_values import DEFAULT_K
 
@@ -85,10 +85,10 @@ class _BestHits:
         self.floor[full.index.to_numpy()] = full["min"].to_numpy()
 
 
-def _hits_schema(questions: DataFrame, docs: DataFrame) -> T.StructType:
+def _hits_schema(question_type: T.DataType, docs: DataFrame) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("question_id", questions.schema["question_id"].dataType),
+            T.StructField("question_id", question_type),
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
             T.StructField("score", T.DoubleType()),
             T.StructField("steps", T.LongType()),
@@ -159,8 +159,8 @@ def _block_scan(
     return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(scan, schema)
 
 
-def _shared_questions(questions: DataFrame, max_rows: int) -> pa.Table | None:
-    """The question table if it is within bounds, else None.
+def shareable(questions: DataFrame, max_rows: int = MAX_SHARED_QUESTIONS) -> pa.Table | None:
+    """The question table if it is small enough to go to every task, else None.
 
     Never more than ``max_rows + 1`` rows are fetched to find out.
     """
@@ -170,8 +170,14 @@ def _shared_questions(questions: DataFrame, max_rows: int) -> pa.Table | None:
     return head if head.num_rows <= max_rows and head.nbytes <= MAX_SHARED_BYTES else None
 
 
+def few_hits(shared: pa.Table | None) -> bool:
+    """Whether all hits of a shared question table may be broadcast in a join:
+    there are at most as many as its k add up to."""
+    return shared is not None and (pc.sum(shared.column("k")).as_py() or 0) <= MAX_BROADCAST_HITS
+
+
 def knn_join(
-    questions: DataFrame,
+    questions: DataFrame | pa.Table,
     docs: DataFrame,
     k: int = DEFAULT_K,
     max_shared_questions: int = MAX_SHARED_QUESTIONS,
@@ -179,31 +185,33 @@ def knn_join(
 ) -> DataFrame:
     """(question_id, doc_id, score, rank) of the best documents per question.
 
-    ``questions`` has question_id, vec and optionally its own ``k``; ``docs``
-    has doc_id and vec, all vectors of one length. Where there are fewer than k
-    documents all are returned. To restrict what readers may retrieve, filter
-    ``docs`` first.
+    ``questions`` has question_id, vec and optionally its own ``k``, and may be
+    a table that ``shareable`` has fetched; ``docs`` has doc_id and vec, all
+    vectors of one length. Where there are fewer than k documents all are
+    returned. To restrict what readers may retrieve, filter ``docs`` first.
     """
-    own_k = F.col("k").cast("int") if "k" in questions.columns else F.lit(k)
-    asked = questions.select("question_id", "vec", own_k.alias("k")).where(
-        F.col("vec").isNotNull() & (F.col("k") > 0)
-    )
     searched = docs.select("doc_id", "vec").where(F.col("vec").isNotNull())
-    schema = _hits_schema(questions, docs)
-    few = False
-    shared = _shared_questions(asked, max_shared_questions)
+    if isinstance(questions, pa.Table):
+        shared = questions
+    else:
+        own_k = F.col("k").cast("int") if "k" in questions.columns else F.lit(k)
+        questions = questions.select("question_id", "vec", own_k.alias("k")).where(
+            F.col("vec").isNotNull() & (F.col("k") > 0)
+        )
+        shared = shareable(questions, max_shared_questions)
     if shared is None:
-        hits = _block_scan(asked, searched, schema, block_rows)
-    elif not shared.num_rows:
-        hits = docs.sparkSession.createDataFrame([], schema)
+        schema = _hits_schema(questions.schema["question_id"].dataType, docs)
+        hits = _block_scan(questions, searched, schema, block_rows)
     else:
-        hits = _shared_scan(searched, shared, schema)
-        few = int(pc.sum(shared.column("k")).as_py()) <= MAX_BROADCAST_HITS
+        schema = _hits_schema(from_arrow_type(shared.schema.field("question_id").type), docs)
+        hits = (
+            _shared_scan(searched, shared, schema)
+            if shared.num_rows
+            else docs.sparkSession.createDataFrame([], schema)
+        )
     best_first = Window.partitionBy("question_id").orderBy(F.col("steps").desc(), "doc_id")
-    ranked = (
+    return (
         hits.withColumn("rank", F.row_number().over(best_first))
         .where(F.col("rank") <= F.col("k"))
         .select("question_id", "doc_id", "score", "rank")
     )
-    # The sum of all k bounds the hits, so the hint below is safe by count.
-    return ranked.hint("broadcast") if few else ranked

@@ -8,19 +8,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from curate.operators.dedup import dedup_latest
+from curate.operators.dedup import COPIES, VARIANTS, dedup_latest
 from curate.operators.headers import clean_headers
 from curate.operators.quality import dq_report
 from curate.plans.medallion import counted_records, flagged
-from curate.operators.dedup import COPIES, VARIANTS
 
 DERIVED = ("age_clean", "is_age_valid", "dq_days_mismatch")
 
 
-def _start(writer, continuous: str | None) -> StreamingQuery:
+def _start(writer: DataStreamWriter, continuous: str | None) -> StreamingQuery:
     """All files there are, then stop; or ``continuous`` as trigger interval."""
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return writer.trigger(**trigger).start()
@@ -67,16 +66,33 @@ def ingest_silver(
     return _start(writer, continuous)
 
 
-def current_records(spark: SparkSession, versions: str) -> DataFrame:
+def _merged(spark: SparkSession, versions: str, wanted: Column, folded: str | None) -> DataFrame:
+    rows = spark.read.parquet(versions).where(wanted).drop("batch_id", COPIES, VARIANTS, *DERIVED)
+    if folded:
+        rows = rows.unionByName(spark.read.parquet(folded).drop(*DERIVED))
+    return flagged(dedup_latest(rows, "fileno", "course_date", "applicant"))
+
+
+def current_records(
+    spark: SparkSession, versions: str, folded: str | None = None, after: int = -1
+) -> DataFrame:
     """One flagged record per key over all batches so far.
 
     The best of the batches' bests is the best of all rows, because the order
-    of versions is total.
+    of versions is total. Batches up to ``after`` may be read from ``folded``.
     """
-    rows = spark.read.parquet(versions).drop("batch_id", COPIES, VARIANTS, *DERIVED)
-    return flagged(dedup_latest(rows, "fileno", "course_date", "applicant"))
+    return _merged(spark, versions, F.col("batch_id") > after, folded)
 
 
-def fold_batches(spark: SparkSession, versions: str, out: str) -> None:
-    """Merge all batches into one record per key below a new folder ``out``."""
-    current_records(spark, versions).write.mode("errorifexists").parquet(out)
+def fold_batches(
+    spark: SparkSession,
+    versions: str,
+    through: int,
+    out: str,
+    folded: str | None = None,
+    after: int = -1,
+) -> None:
+    """Merge the batches up to ``through``, and an earlier fold, into one record
+    per key below a new folder. Readers then give it as ``folded``."""
+    wanted = F.col("batch_id").between(after + 1, through)
+    _merged(spark, versions, wanted, folded).write.mode("errorifexists").parquet(out)
