@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from curate import fixed_values as fixed
 from curate.functions.dates import parse_mixed_date
 from curate.functions.rates import band, exact_rate, safe_rate
-from curate.functions.sizes import checked_broadcast
+from curate.functions.sizes import checked_broadcast, spread_small
 from curate.functions.text import intent
 from curate.functions.vectors import cosine
 from curate.operators import aggregate, answers, dedup, governance, headers, layout, quality
@@ -37,7 +37,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def typed(spark, sf):

@@ -1,4 +1,4 @@
-"""Broadcast only what has been counted."""
+"""Decisions that depend on how big an input really is."""
 
 from __future__ import annotations
 
@@ -12,3 +12,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     it is, for Spark to shuffle. Counting stops one row past the bound."""
     few = df.limit(max_rows + 1).count() <= max_rows
     return df.hint("broadcast") if few else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer splits than cores over all cores.
+
+    A table in one small file would otherwise keep every step up to the next
+    shuffle on one core. Inputs with splits enough are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -35,16 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     unset ``spark.checkpoint.dir`` is an error, because a machine-local folder
     would lose data with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="curate-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="curate-"))
+    return context.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -10,30 +10,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curate.fixed_values import ATTENDANCE_HEADERS, SERIAL_DAY_EPOCH
+from curate.functions.sizes import spread_small
 
 
 def attendance_feed(spark: SparkSession, sf_dir: str, with_version: bool = False) -> DataFrame:
     """The feed under its raw headers, all text. ``with_version`` keeps a column
     ``version``: 0 the original, 1 an exact repeat, 2 a conflicting record."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").alias("ok"),
-        F.col("o_orderdate").cast("date").alias("ordered"),
-        "o_custkey",
-        "o_orderpriority",
+    orders = spread_small(
+        spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+            F.col("o_orderkey").alias("ok"),
+            F.col("o_orderdate").cast("date").alias("ordered"),
+            "o_custkey",
+            "o_orderpriority",
+        )
     )
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         "c_custkey", "c_name", "c_nationkey"
     )
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
-    people = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-
     ok = F.col("ok")
     # Repeats come from one scan: an order is exploded into its versions.
     versions = F.array_compact(
         F.array(F.lit(0), F.when(ok % 50 == 0, 1), F.when(ok % 70 == 0, 2))
     )
     rows = (
-        orders.join(people, orders.o_custkey == people.c_custkey)
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumn("version", F.explode(versions))
         .withColumn("d", F.date_add("ordered", F.when(F.col("version") == 2, 30).otherwise(0)))
         .withColumn("scheduled", 1 + ok % 10)

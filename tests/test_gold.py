@@ -1,0 +1,85 @@
+import pytest
+from pyspark.sql import functions as F
+
+from curate.functions.rates import band, percent_text, safe_rate
+from curate.operators.aggregate import rank_groups, simple_rate, weighted_rate
+from curate.plans import medallion
+
+
+@pytest.fixture
+def silver(sample):
+    return medallion.split(medallion.latest_records(sample))[0]
+
+
+def test_split(sample):
+    good, bad = medallion.split(medallion.latest_records(sample))
+    assert (good.count(), bad.count()) == (8, 1)
+    reject = bad.first()
+    assert (reject.fileno, reject.course_date_raw, reject.reject_reason) == ("R-0055", "2024-13-45", "unparseable_course_date")
+    flags = {r.fileno[-4:]: r for r in good.collect()}
+    assert flags["0041"].age_clean is None and not flags["0041"].is_age_valid
+    assert [k for k, r in flags.items() if r.dq_days_mismatch] == ["0072"]
+
+
+def test_records_of_both_ways_agree(sample):
+    counted = medallion.counted_records(sample).drop("n_copies", "n_variants")
+    latest = medallion.latest_records(sample).select(*counted.columns)
+    assert {tuple(r) for r in counted.collect()} == {tuple(r) for r in latest.collect()}
+
+
+def test_bands_and_rates(silver):
+    rows = {r.fileno[-4:]: r for r in medallion.gold_records(silver).collect()}
+    bands = {k: r.attendance_band for k, r in rows.items()}
+    assert bands == {
+        "0088": "High", "0007": "Medium", "0012": "Medium", "0072": "Medium", "0090": "Medium",
+        "0033": "Low", "0041": "Low", "0068": "Low",
+    }
+    assert rows["0007"].attendance_rate == 0.8889 and rows["0012"].attendance_rate == 0.6
+    assert "is_age_valid" not in rows["0007"] and "dq_days_mismatch" not in rows["0007"]
+
+
+def test_band_uses_the_unrounded_rate(spark):
+    df = spark.createDataFrame([(0.9,), (0.89999,), (0.6,), (0.59999,), (None,)], "r double")
+    assert [r[0] for r in df.select(band(F.col("r"))).collect()] == ["High", "Medium", "Medium", "Low", "Unknown"]
+
+
+def test_rate_of_zero_or_missing_days(spark):
+    df = spark.createDataFrame([(1, 0), (1, None), (None, 3), (0, 4)], "a int, n int")
+    assert [r[0] for r in df.select(safe_rate("a", "n")).collect()] == [None, None, None, 0.0]
+
+
+def test_weighted_rate_by_branch_and_course(silver):
+    branch = {r.branch: tuple(r)[1:] for r in weighted_rate(silver, "branch").collect()}
+    assert branch == {
+        "North": (3, 24, 10, 0.4167), "East": (3, 15, 7, 0.4667), "West": (2, 17, 16, 0.9412),
+    }
+    course = {r.course_name: tuple(r)[1:] for r in weighted_rate(silver, "course_name").collect()}
+    assert course == {
+        "Growth": (4, 28, 12, 0.4286), "Marketing": (2, 11, 5, 0.4545), "Export": (2, 17, 16, 0.9412),
+    }
+
+
+def test_weighted_and_simple_rates_rank_differently(silver):
+    weighted = [r.branch for r in rank_groups(weighted_rate(silver, "branch"), "branch").collect()]
+    simple = simple_rate(medallion.gold_records(silver), "branch").collect()
+    assert weighted == ["North", "East", "West"]
+    assert [(r.branch, r.avg_attendance_rate) for r in simple] == [("East", 0.3492), ("North", 0.437), ("West", 0.9445)]
+
+
+def test_strict_variant_and_zero_totals(silver, spark):
+    strict = {r.branch: r.num_records for r in weighted_rate(silver, "branch", exclude=F.col("dq_days_mismatch")).collect()}
+    assert strict == {"North": 2, "East": 3, "West": 2}
+    zero = spark.createDataFrame([("a", 0, 0), ("b", None, 1)], "g string, number_of_days int, days_attended int")
+    assert {r.attendance_rate for r in weighted_rate(zero, "g").collect()} == {None}
+
+
+def test_simple_rate_counts_unrated_records(spark):
+    df = spark.createDataFrame([("a", 0.5), ("a", None)], "g string, attendance_rate double")
+    assert tuple(simple_rate(df, "g").first()) == ("a", 0.5, 2)
+
+
+def test_percent_text_rounds_as_printf_does(spark):
+    values = [0.00125, 0.01005, 0.08345, 0.62125, 0.62375, 1.0, 0.0, -0.25]
+    values += [a / b for b in range(1, 150) for a in range(b + 1)]
+    df = spark.createDataFrame([(v, f"{v * 100:.2f}%") for v in values], "v double, t string")
+    assert df.where(percent_text(F.col("v")) != F.col("t")).collect() == []
