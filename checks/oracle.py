@@ -487,8 +487,13 @@ FROM (SELECT *, {_int('age_raw')} AS age FROM feed)""",
     "q1_weighted": _with("by_branch")
     + "SELECT branch, attendance_rate, num_records FROM by_branch ORDER BY attendance_rate",
     "q1_simple_mean": _with("gold")
-    + "SELECT branch, round(avg(attendance_rate), 4) AS avg_attendance_rate, count(*) AS num_records "
-    "FROM gold GROUP BY branch ORDER BY avg_attendance_rate",
+    # The mean in ten-thousandths, rounded half up in integers.
+    + """SELECT branch, CASE WHEN n > 0 THEN ((2 * total + n) // (2 * n)) / 10000.0::DOUBLE END AS avg_attendance_rate,
+  num_records
+FROM (SELECT branch, count(*) AS num_records, count(attendance_rate) AS n,
+        CAST(sum(CAST(round(attendance_rate * 10000) AS BIGINT)) AS BIGINT) AS total
+      FROM gold GROUP BY branch)
+ORDER BY avg_attendance_rate""",
     "row_counts": _with("totals")
     + """SELECT rows_in, after_exact AS rows_after_exact_dedup, after_key AS rows_after_key_dedup,
   (SELECT count(*) FROM staged WHERE course_date IS NOT NULL) AS rows_curated,

@@ -33,9 +33,16 @@ def weighted_rate(
 
 def simple_rate(df: DataFrame, key: str, rate: str = "attendance_rate") -> DataFrame:
     """Mean of the record rates per key, lowest first. Records without a rate
-    count as records but not in the mean."""
+    count as records but not in the mean.
+
+    Rates carry four decimals, so they are summed as decimals: the mean is exact
+    and its rounding does not depend on the order of summation, as that of
+    doubles would where the mean lies halfway between two results.
+    """
+    total = F.sum(F.col(rate).cast("decimal(14,4)"))
+    rated = F.count(rate).cast("decimal(14,0)")
     means = df.groupBy(key).agg(
-        F.round(F.avg(rate), RATE_SCALE).alias("avg_attendance_rate"),
+        F.round(F.try_divide(total, rated), RATE_SCALE).cast("double").alias("avg_attendance_rate"),
         F.count(F.lit(1)).alias("num_records"),
     )
     return means.orderBy("avg_attendance_rate", key)

@@ -83,3 +83,11 @@ def test_percent_text_rounds_as_printf_does(spark):
     values += [a / b for b in range(1, 150) for a in range(b + 1)]
     df = spark.createDataFrame([(v, f"{v * 100:.2f}%") for v in values], "v double, t string")
     assert df.where(percent_text(F.col("v")) != F.col("t")).collect() == []
+
+
+def test_simple_mean_is_exact_at_halfway(spark):
+    # 0.1 + 0.2 + ... in doubles lands on either side of a half, by order.
+    rows = [("a", 0.0001), ("a", 0.0002), ("b", 0.8889), ("b", 0.889), ("c", None)]
+    got = {r.g: r.avg_attendance_rate for r in simple_rate(
+        spark.createDataFrame(rows, "g string, attendance_rate double"), "g").collect()}
+    assert got == {"a": 0.0002, "b": 0.889, "c": None}
