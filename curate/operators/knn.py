@@ -39,11 +39,15 @@ _CELLS = 2_000_000
 BLOCK_ROWS = 16_384
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long lists as a matrix, without Python objects."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    lengths = pc.unique(pc.list_value_length(column))
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {lengths.to_pylist()}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
-    return flat.reshape(-1, dim)
+    return flat.reshape(len(column), -1)
 
 
 @dataclass
@@ -119,13 +123,13 @@ def _shared_scan(docs: DataFrame, shared: pa.Table, schema: T.StructType) -> Dat
     """Documents stay where they are; the question block goes to each task."""
     question_ids = shared.column("question_id").to_pylist()
     ks = shared.column("k").to_numpy()
-    vectors = np.array(shared.column("vec").to_pylist(), dtype="float64")
+    vectors = _matrix(shared.column("vec"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _BestHits(vectors, ks)
         for batch in batches:
             if batch.num_rows:
-                best.add(_ids(batch.column("doc_id")), _matrix(batch.column("vec"), vectors.shape[1]))
+                best.add(_ids(batch.column("doc_id")), _matrix(batch.column("vec")))
         yield from _hits_table(best, question_ids, to_arrow_schema(schema)).to_batches()
 
     return docs.mapInArrow(scan, schema)
@@ -151,9 +155,8 @@ def _block_scan(
         out = to_arrow_schema(schema)
         if not q.num_rows or not d.num_rows:
             return out.empty_table()
-        vectors = np.array(q.column("vec").to_pylist(), dtype="float64")
-        best = _BestHits(vectors, q.column("k").to_numpy())
-        best.add(_ids(d.column("doc_id")), _matrix(d.column("vec"), vectors.shape[1]))
+        best = _BestHits(_matrix(q.column("vec")), q.column("k").to_numpy())
+        best.add(_ids(d.column("doc_id")), _matrix(d.column("vec")))
         return _hits_table(best, q.column("question_id").to_pylist(), out)
 
     return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(scan, schema)

@@ -28,6 +28,20 @@ def build_session(app_name: str = "curate", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def sized_conf(input_bytes: int, partition_mb: int = 256) -> dict[str, str]:
+    """Settings that keep scan and shuffle partitions near ``partition_mb``.
+
+    Adaptive execution merges partitions that turn out small, so the number is
+    chosen from the size before anything is filtered or folded away.
+    """
+    target = partition_mb << 20
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // target))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

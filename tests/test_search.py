@@ -105,3 +105,10 @@ def test_no_cross_join_in_the_plan(spark):
     for hits in (knn_join(q, d), knn_join(q, d, max_shared_questions=0)):
         plan = hits._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    q, d, *_ = frames(spark, n_docs=20)
+    odd = spark.createDataFrame([("odd", [1.0, 0.0])], d.schema)
+    with pytest.raises(Exception, match="different lengths|mismatch|size"):
+        knn_join(q, d.unionByName(odd).coalesce(1)).collect()

@@ -153,6 +153,12 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(local) == session.shared_dir(local) == local.own
 
 
+def test_partition_settings_grow_with_the_input():
+    small, big = session.sized_conf(10 << 30), session.sized_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
+
+
 def test_view_for_sql(spark, silver):
     name = tables.as_view(silver, "silver_for_sql")
     assert spark.sql(f"SELECT count(*) AS n FROM {name} WHERE dq_days_mismatch").first().n == 1
