@@ -478,8 +478,7 @@ FROM (SELECT *, {_int('age_raw')} AS age FROM feed)""",
     "fold_versions": _with("staged") + "SELECT * FROM staged",
     "silver_records": _with("silver") + "SELECT * FROM silver",
     "rate": _with("gold") + "SELECT fileno, attendance_rate FROM gold",
-    "band_counts": _with("gold")
-    + "SELECT attendance_band, count(*) AS num_records FROM gold GROUP BY attendance_band",
+    "band": _with("gold") + "SELECT fileno, attendance_band FROM gold",
     "gold_records": _with("gold") + "SELECT * FROM gold",
     "gold_by_branch": _with("by_branch") + "SELECT * FROM by_branch",
     "gold_by_course": _with("by_course") + "SELECT * FROM by_course",
@@ -543,9 +542,9 @@ ORDER BY avg_attendance_rate""",
   count(*) FILTER (WHERE contains(concat(text, to_json(t)), applicant)) AS documents_with_name
 FROM doc_texts t JOIN (SELECT fileno, applicant FROM gold) ON doc_id = fileno""",
     "cite": _with("docs") + f"SELECT doc_id, {_CITATION} AS citation FROM docs",
-    "embed_documents": _vec_text("documents", "documents"),
+    "embed": _vec_text("documents", "documents"),
     "embed_gold": _vec_text("gold", "docs"),
-    "cosine_to_anchor": _with("anchors")
+    "cosine": _with("anchors")
     + f"SELECT vec_id, anchor_id, round({_DOT.format('embedding', 'anchor')}, 4) AS score "
     "FROM embeddings JOIN anchors USING (label)",
     "topk": _with("anchors") + _topk(_ANCHOR_QUESTIONS),
@@ -555,7 +554,7 @@ FROM doc_texts t JOIN (SELECT fileno, applicant FROM gold) ON doc_id = fileno"""
         _ANCHOR_QUESTIONS,
         "(SELECT * FROM embeddings WHERE label IN (SELECT r_regionkey FROM region))",
     ),
-    "intent_of_questions": _with("question_intents") + "SELECT question, intent FROM question_intents",
+    "intent": _with("question_intents") + "SELECT question, intent FROM question_intents",
     "qa_batch": _with("answers") + "SELECT question, answer, grounded, top_score, sources FROM answers",
     "refuse": _with("answers")
     + "SELECT question, answer, top_score, CAST(0 AS INTEGER) AS n_sources FROM answers WHERE NOT grounded",

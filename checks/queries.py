@@ -32,7 +32,8 @@ QUERIES = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    """Register a query under its name, less the underscore of names in use."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -237,11 +238,9 @@ def rate(spark, sf):
 
 
 @query
-def band_counts(spark, sf):
+def band_(spark, sf):
     label = band(exact_rate("days_attended", "number_of_days"))
-    return silver(spark, sf).groupBy(label.alias("attendance_band")).agg(
-        F.count(F.lit(1)).alias("num_records")
-    )
+    return silver(spark, sf).select("fileno", label.alias("attendance_band"))
 
 
 @query
@@ -401,7 +400,7 @@ def _vector_text(vec: str):
 
 
 @query
-def embed_documents(spark, sf):
+def embed_(spark, sf):
     vectors = embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
     return vectors.select("doc_id", _vector_text("vec").alias("vec_text"))
 
@@ -419,7 +418,7 @@ def _anchors(vectors: DataFrame) -> DataFrame:
 
 
 @query
-def cosine_to_anchor(spark, sf):
+def cosine_(spark, sf):
     vectors = table(spark, sf, "embeddings")
     pairs = vectors.join(checked_broadcast(_anchors(vectors)), "label")
     return pairs.select(
@@ -484,7 +483,7 @@ def _answered(spark, sf, threshold=fixed.SIMILARITY_THRESHOLD):
 
 
 @query
-def intent_of_questions(spark, sf):
+def intent_(spark, sf):
     asked = attendance_questions(gold(spark, sf))
     return asked.select("question", intent("question").alias("intent"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 COPIES = "n_copies"
@@ -62,7 +60,7 @@ def fold_versions(groups: DataFrame, key: str, latest: str, then: str) -> DataFr
         F.count(F.lit(1)).alias(VARIANTS),
     )
     picked = [
-        F.col(key) if c == key else F.col(f"_best._latest" if c == latest else f"_best._{c}").alias(c)
+        F.col(key) if c == key else F.col("_best._latest" if c == latest else f"_best._{c}").alias(c)
         for c in columns
     ]
     return folded.select(*picked, COPIES, VARIANTS)

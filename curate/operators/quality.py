@@ -98,6 +98,11 @@ def clean_rows(df: DataFrame, rules: Sequence[Rule] = ATTENDANCE_RULES) -> DataF
     return df.where(_all_satisfied(rules))
 
 
+def _timestamp(moment: datetime) -> Column:
+    """``moment`` on the clock of the session, or of its own zone if it has one."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def row_counts(staged: DataFrame, curated: Column) -> DataFrame:
     """The size of each step in one pass: rows in, after exact and key
     deduplication, curated, quarantined."""
@@ -139,7 +144,7 @@ def dq_report(
         counts.select("rows_in", F.inline(F.array(*lines)))
         .select(
             F.lit(run_id).alias("run_id"),
-            F.lit(run_ts).cast("timestamp").alias("run_ts"),
+            _timestamp(run_ts).alias("run_ts"),
             F.lit(dataset).alias("dataset"),
             "rule_name",
             "severity",
@@ -165,7 +170,7 @@ def alerts(
 ) -> DataFrame:
     """Recent log lines to act on: a blocking rule with any failure, or a warn
     rule below ``floor``. An unknown pass rate never fires."""
-    current = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    current = F.current_timestamp() if now is None else _timestamp(now)
     recent = F.col("run_ts") >= current - F.make_dt_interval(F.lit(window_days))
     blocking = (F.col("severity") == "blocking") & (F.col("rows_failed") > 0)
     low = (F.col("severity") == "warn") & (F.col("pass_rate") < floor)

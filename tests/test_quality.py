@@ -122,3 +122,13 @@ def test_log_grows_and_takes_new_columns(spark, report):
     log = read_log(spark, path)
     assert log.count() == 12
     assert {r.run_id: r.n for r in log.groupBy("run_id").agg(F.count("pass_rate").alias("n")).collect()} == {"r1": 0, "r2": 6}
+
+
+def test_time_of_a_run_is_on_the_session_clock(spark, sample):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        report = quality.dq_report(medallion.counted_records(sample), "r", TS, "d")
+        shown = report.select(F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss")).first()[0]
+        assert shown == "2024-09-01 12:00:00" and quality.alerts(report, now=TS).count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
