@@ -316,8 +316,8 @@ GROUP BY doc_id
 # --- questions and answers ----------------------------------------------------------------------------
 
 _step("questions", ("gold",), """
-SELECT question, unnest_k AS k, answerable FROM (
-  SELECT 'What is the attendance rate for the ' || course_name || ' course?' AS question, 3 AS unnest_k, true AS answerable
+SELECT question, k, answerable FROM (
+  SELECT 'What is the attendance rate for the ' || course_name || ' course?' AS question, 3 AS k, true AS answerable
   FROM (SELECT DISTINCT course_name FROM gold)
   UNION ALL SELECT 'How many days did the ' || course_name || ' participant attend?', 3, true
   FROM (SELECT DISTINCT course_name FROM gold)

@@ -466,13 +466,10 @@ def retrieval_acl(spark, sf):
 
 
 def _corpus(spark, sf):
-    """The stored vector table and the questions about it."""
-    path = work_path(spark, "gold")
-    tables.write_replace(gold(spark, sf), path)
-    records = spark.read.parquet(path)
-    corpus = store_corpus(spark, records, work_path(spark, "vectors"))
+    """The questions and the stored vector table they are about."""
+    corpus = store_corpus(spark, gold(spark, sf), work_path(spark, "vectors"))
     asked = work_path(spark, "questions")
-    tables.write_replace(attendance_questions(records), asked)
+    tables.write_replace(attendance_questions(corpus.select("metadata.*")), asked)
     return spark.read.parquet(asked), corpus
 
 

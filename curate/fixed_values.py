@@ -94,6 +94,21 @@ LOOKUP_RATE_UNKNOWN = "not computable"
 CITATION = "[{type}: {name} — {course_name} @ {branch} — {rate_txt} ({attended}/{scheduled} days)]"
 CITATION_RATE_UNKNOWN = "n/a"
 
+# --- Fixed values: question texts, hits to use (None: all), whether records answer them ---
+COURSE_QUESTIONS = (
+    ("What is the attendance rate for the {} course?", 3, True),
+    ("How many days did the {} participant attend?", 3, True),
+    ("Which {} attendance record has the lowest attendance rate?", 3, True),
+    ("Which {} attendance record has the highest attendance rate?", 3, True),
+)
+BRANCH_QUESTIONS = (("What courses are running in {}?", 3, False),)
+GENERAL_QUESTIONS = (
+    ("Which attendance record has the lowest attendance rate?", None, True),
+    ("Which attendance record has the highest attendance rate?", None, True),
+    ("Average age of participants?", 3, False),
+    ("What is the annual leave entitlement?", 3, False),
+)
+
 # --- Fixed values: masking ---
 MASK_TEXT = "***REDACTED***"
 LAYERS = ("bronze", "silver", "gold", "governance")

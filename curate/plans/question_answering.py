@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from curate.fixed_values import BRANCH_QUESTIONS, COURSE_QUESTIONS, GENERAL_QUESTIONS
 from curate.operators.documents import build_documents
 from curate.operators.embed import Encoder, embed
 from curate.sources.tables import write_replace
@@ -22,50 +23,37 @@ def store_corpus(
     return spark.read.parquet(path)
 
 
-def attendance_questions(gold: DataFrame) -> DataFrame:
-    """A question table about ``gold``: (question_id, question, k, answerable).
+def _ask(values: DataFrame, templates: tuple) -> DataFrame:
+    """Every template about every row's ``value``."""
+    entries = []
+    for text, k, answerable in templates:
+        before, _, after = text.partition("{}")
+        entries.append(
+            F.struct(
+                F.concat(F.lit(before), F.col("value"), F.lit(after)).alias("question"),
+                F.lit(k).cast("int").alias("k"),
+                F.lit(answerable).alias("answerable"),
+            )
+        )
+    return values.select(F.inline(F.array(*entries)))
+
+
+def attendance_questions(records: DataFrame) -> DataFrame:
+    """A question table about ``records``: (question_id, question, k, answerable).
 
     Questions on each course and branch in the data, superlatives over the
     whole corpus (NULL k) and among three hits, and questions that the records
-    cannot answer.
+    cannot answer. Any table with branch and course_name will do.
     """
-    # --- Fixed values: question texts, hits to use, whether records answer them ---
-    per_course = (
-        ("What is the attendance rate for the {} course?", 3, True),
-        ("How many days did the {} participant attend?", 3, True),
-        ("Which {} attendance record has the lowest attendance rate?", 3, True),
-        ("Which {} attendance record has the highest attendance rate?", 3, True),
-    )
-    per_branch = (("What courses are running in {}?", 3, False),)
-    general = (
-        ("Which attendance record has the lowest attendance rate?", None, True),
-        ("Which attendance record has the highest attendance rate?", None, True),
-        ("Average age of participants?", 3, False),
-        ("What is the annual leave entitlement?", 3, False),
-    )
-
-    def ask(values: DataFrame, templates: tuple) -> DataFrame:
-        entries = []
-        for text, k, answerable in templates:
-            before, _, after = text.partition("{}")
-            question = F.concat(F.lit(before), F.col("value"), F.lit(after))
-            entries.append(
-                F.struct(
-                    question.alias("question"),
-                    F.lit(k).cast("int").alias("k"),
-                    F.lit(answerable).alias("answerable"),
-                )
-            )
-        return values.select(F.inline(F.array(*entries)))
 
     def distinct_values(column: str) -> DataFrame:
-        return gold.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+        return records.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
 
-    any_record = gold.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("value"))
+    one_row = records.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("value"))
     asked = (
-        ask(distinct_values("course_name"), per_course)
-        .unionByName(ask(distinct_values("branch"), per_branch))
-        .unionByName(ask(any_record, general))
+        _ask(distinct_values("course_name"), COURSE_QUESTIONS)
+        .unionByName(_ask(distinct_values("branch"), BRANCH_QUESTIONS))
+        .unionByName(_ask(one_row, GENERAL_QUESTIONS))
     )
     # The question text is its own identity.
     return asked.select(F.col("question").alias("question_id"), "question", "k", "answerable")

@@ -81,3 +81,18 @@ def test_a_batch_that_runs_again_counts_once(spark, folder):
         run_silver(spark, path, versions, log, work_path(spark, "offsets"))
     assert {tuple(r) for r in ingest.current_records(spark, versions).collect()} == batch_records(spark, SAMPLE)
     assert read_log(spark, log).count() == 6
+
+
+def test_continuous_trigger(spark, folder):
+    out = work_path(spark, "bronze")
+    path = folder(SAMPLE)
+    query = ingest.ingest_bronze(
+        stream_bronze(spark, path), out, work_path(spark, "offsets"), continuous="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        folder(LATER)
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(out).count() == 14
+    finally:
+        query.stop()
