@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from curate.operators.dedup import dedup_exact, dedup_latest, exact_groups, fold_versions
+from curate.operators.dedup import dedup_exact, dedup_latest, exact_groups, fold_versions, has_hot_key
+from curate.plans import medallion
 
 SCHEMA = "key string, name string, d date, note string, n int"
 
@@ -94,3 +95,37 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert dedup_latest(empty, "key", "d", "name").count() == 0
     assert fold_versions(exact_groups(empty), "key", "d", "name").count() == 0
+
+
+def test_hot_keys_are_found(spark):
+    df = messy(spark)
+    assert has_hot_key(df, "key")
+    assert not has_hot_key(df.limit(0), "key")
+    assert not has_hot_key(spark.range(4000).select(F.col("id").cast("string").alias("key")), "key")
+    gaps = spark.createDataFrame([(None,)] * 50 + [(str(i),) for i in range(50)], "key string")
+    assert has_hot_key(gaps, "key")
+
+
+def test_one_shuffle_gives_the_same_records(spark, records, monkeypatch):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        key = rng.choice([None, *[f"k{j}" for j in range(400)]])
+        day = rng.choice(["2024-01-01", "02/01/2024", "2024-13-45", "45000"])
+        rows.append((key, rng.choice("ab"), "30", "B", "C", day, rng.choice(["3", "x"]), "1", "2"))
+    raw = records(rows)
+    two, one = (medallion.counted_records(raw, even_keys=e) for e in (False, True))
+    result = {tuple(r) for r in two.collect()}
+    assert {tuple(r) for r in one.collect()} == result and len(result) == len({r[0] for r in rows})
+
+    def shuffles(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.split("Initial Plan")[-1].count("Exchange hashpartitioning")
+
+    assert (shuffles(one), shuffles(two)) == (1, 2)
+    # Left to itself: two shuffles when small, and when large only for hot keys.
+    assert shuffles(medallion.counted_records(raw)) == 2
+    monkeypatch.setattr(medallion, "MANY_SPLITS", 1)
+    assert shuffles(medallion.counted_records(raw)) == 1
+    hot = records(rows + [("HOT", *r[1:]) for r in rows[:1500]])
+    assert shuffles(medallion.counted_records(hot)) == 2
