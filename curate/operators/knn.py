@@ -189,7 +189,7 @@ def knn_join(
     """(question_id, doc_id, score, rank) of the best documents per question.
 
     ``questions`` has question_id, vec and optionally its own ``k``, and may be
-    a table that ``shareable`` has fetched; ``docs`` has doc_id and vec, all
+    a table that ``shareable`` has fetched; ``docs`` has doc_id and vec; ids are unique, all
     vectors of one length. Where there are fewer than k documents all are
     returned. To restrict what readers may retrieve, filter ``docs`` first.
     """
