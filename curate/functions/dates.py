@@ -21,9 +21,8 @@ _NUMERIC_FORMAT = re.compile(r"(yyyy|MM|dd)(\W)(yyyy|MM|dd)(\W)(yyyy|MM|dd)")
 def _reading(raw: Column, date_format: str) -> Column:
     """``raw`` read by one format, NULL where it does not fit.
 
-    A numeric format is put into ISO order and cast. That is several times
-    cheaper than the pattern parser, which raises an exception inside for each
-    row that does not fit, and fails the job on years that overflow it.
+    A numeric format is put into ISO order and cast. That is cheaper than the
+    pattern parser, which moreover fails the job on years that overflow it.
     """
     numeric = _NUMERIC_FORMAT.fullmatch(date_format)
     if not numeric or {numeric[1], numeric[3], numeric[5]} != set(_FIELDS):
