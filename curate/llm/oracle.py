@@ -1,3 +1,25 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+# Turn by turn without the template: what is read back must equal what went in.
+ORACLE["op3_chat"] = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)
+), marked AS (
+  SELECT *, length(CASE role WHEN 'assistant' THEN '[REPLY]' ELSE '[INST]' || regexp_replace(role, '([\[<\\])', '\1\\', 'g') || '[SAYS]' END)
+    + length(regexp_replace(text, '([\[<\\])', '\1\\', 'g')) + length(CASE role WHEN 'assistant' THEN '</s>' ELSE '[/INST]' END) AS size,
+    row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rows_ WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), upto AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS prefix FROM marked
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(prefix) FILTER (role = 'assistant' OR k = n) AS BIGINT) AS formatted_chars,
+  CAST(count(*) FILTER (role = 'assistant') AS BIGINT) AS n_examples
+FROM upto GROUP BY conv_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curate.llm import arrow_stream, bpe
+from curate.llm import arrow_stream, bpe, chat
 from curate.session import work_path
 
 QUERIES = {}
@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_chat(spark, sf_dir):
+    text = "</s>[INST] ok [/INST]"
+    added = spark.range(1).selectExpr("inline(array((-1L, 0L, 'user', {t}), (-1L, 1L, 'assistant', {t})))".format(t=f"'{text}'"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.expand(turns.union(added)))
+
+
 @query
 def op4_arrow_stream(spark, sf_dir):
     out = work_path(spark, "arrow-stream")
