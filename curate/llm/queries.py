@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curate.llm import arrow_stream, bpe, chat
+from curate.llm import arrow_stream, bpe, chat, decontaminate, licenses
 from curate.session import work_path
 
 QUERIES = {}
@@ -36,6 +36,16 @@ def op4_arrow_stream(spark, sf_dir):
     return arrow_stream.read_documents(spark, manifest)
 
 
+@query
+def op6_licenses(spark, sf_dir):
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_bpe(spark, sf_dir):
     encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY)
