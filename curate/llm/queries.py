@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curate.llm import arrow_stream, bpe, chat, decontaminate, licenses
+from curate.llm import arrow_stream, bpe, chat, decontaminate, licenses, lm
 from curate.session import work_path
 
 QUERIES = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(n: int):
+    """crc32 of the id as text, modulo n; null for rows without an id."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 @query
 def op3_chat(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
@@ -50,3 +55,10 @@ def op7_decontaminate(spark, sf_dir):
 def op8_bpe(spark, sf_dir):
     encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY)
     return bpe.digests(bpe.decode(encoded, VOCABULARY))
+
+
+@query
+def op10_lm(spark, sf_dir):
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    scored = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
