@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curate.llm import arrow_stream, bpe, chat, decontaminate, licenses, lm
+from curate.llm import arrow_stream, bpe, chat, decontaminate, jaccard, licenses, lm
 from curate.session import work_path
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def op10_lm(spark, sf_dir):
     held_out = F.coalesce(remainder(7) == 2, F.lit(False))
     scored = lm.score(table(spark, sf_dir, "documents"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op9_jaccard(spark, sf_dir):
+    return jaccard.similar(table(spark, sf_dir, "documents")).drop("text_hash")

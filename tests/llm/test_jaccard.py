@@ -1,0 +1,106 @@
+"""The join against comparing all pairs."""
+
+import itertools
+import random
+import re
+import string
+
+import numpy as np
+import pytest
+
+from curate.llm import jaccard
+from curate.llm.graph import components
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def grams(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    return tuple(words), {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def by_hand(rows):
+    made = [grams(t) for _, t in rows]
+    n = len(rows)
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links, different = [0] * n, [set() for _ in range(n)]
+    for i, j in itertools.combinations(range(n), 2):
+        a, b = made[i][1], made[j][1]
+        if a and b and 10 * len(a & b) >= 8 * len(a | b):
+            links[i] += 1
+            links[j] += 1
+            if made[i][0] != made[j][0]:
+                different[i].add(made[j][0])
+                different[j].add(made[i][0])
+            root[find(i)] = find(j)
+    classes = {}
+    for i in range(n):
+        classes.setdefault(find(i), []).append(rows[i][0])
+    out = []
+    for i, (key, _) in enumerate(rows):
+        ids = [k for k in classes[find(i)] if k is not None]
+        copies = sum(m[0] == made[i][0] for m in made) if made[i][0] else 1
+        out.append((key, min(ids, default=None), links[i], len(different[i]), copies))
+    return sorted(out, key=str)
+
+
+def sample(seed=0):
+    rng = random.Random(seed)
+    pool = [f"w{i}" for i in range(3000)]
+    rows = []
+    for group in range(25):
+        base = rng.choices(pool, k=rng.randint(1, 120))
+        for _ in range(rng.choice([1, 2, 3, 12])):
+            copy = list(base)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = rng.choice(pool)
+            rows.append(" ".join(copy))
+            if rng.random() < 0.3:
+                rows.append(", ".join(copy).upper() + ".")
+    rows += ["", None, "   ", "one", "One!", "a b c d", "a b c d e f g h i", "a b c d e f g h i j", "same " * 30000, "same " * 30001]
+    rows = list(enumerate(rows))
+    return rows + [(None, rows[0][1]), (None, None), (None, rows[3][1]), rows[5], rows[5], (9000, "")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, print string, root int")
+
+
+@pytest.mark.parametrize("bucket,texts", [(128, 2048), (3, 2048), (128, 4), (2, 3)])
+def test_against_all_pairs(spark, monkeypatch, bucket, texts):
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    monkeypatch.setattr(jaccard, "BLOCK_TEXTS", texts)
+    rows = sample()
+    got = jaccard.similar(frame(spark, rows)).drop("text_hash")
+    assert sorted(map(tuple, got.collect()), key=str) == by_hand(rows)
+
+
+def test_empty_and_single(spark):
+    assert jaccard.similar(frame(spark, [(1, "x")]).limit(0)).collect() == []
+    assert [tuple(r)[2:] for r in jaccard.similar(frame(spark, [(1, "x y")])).collect()] == [(1, 0, 0, 1)]
+
+
+def test_common_counts():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))).astype(np.uint64) for _ in range(30)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    whole = jaccard._common(sets, None)
+    assert (whole == want)[~np.eye(30, dtype=bool)].all()
+    assert np.array_equal(jaccard._common(sets[:11], sets[11:]), want[:11, 11:])
+
+
+def test_components_of_a_long_chain(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1000), (5, 3)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+def test_runs_grow_with_recall():
+    assert jaccard.runs_for(0.9) < jaccard.runs_for(0.99) < jaccard.runs_for(0.9999)
+    assert jaccard.runs_for(0.99, depth=1) <= 3
