@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curate.llm import arrow_stream, bpe, chat, decontaminate, jaccard, licenses, lm
+from curate.llm import arrow_stream, bpe, chat, decontaminate, jaccard, licenses, lm, quality
 from curate.session import work_path
 
 QUERIES = {}
@@ -41,6 +41,19 @@ def op4_arrow_stream(spark, sf_dir):
     return arrow_stream.read_documents(spark, manifest)
 
 
+def quality_model(spark, docs, sf_dir):
+    """Fitted to the labelled documents that are not held out."""
+    return quality.train(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+
+
+@query
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.scores(docs, quality_model(spark, docs, sf_dir))
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_licenses(spark, sf_dir):
     return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
