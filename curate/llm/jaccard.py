@@ -22,12 +22,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from curate.llm.flat import mix, slices, word_hashes
 from curate.llm.graph import components, stored
 
 WORDS = 5
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 THRESHOLD = 0.8
 COORDS = 64
 RECALL = 0.999
@@ -302,13 +303,14 @@ def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     threshold: float = THRESHOLD, recall: float = RECALL,
 ) -> DataFrame:
-    """``doc_id, text_hash, class_id, n_links, n_text_links, n_copies`` per row of ``docs``.
+    """``doc_id, text_hash, stays, class_id, n_links, n_text_links, n_copies`` per row of ``docs``.
 
     Two documents are linked if the Jaccard similarity of their shingles of ``WORDS``
     words is at least ``threshold``; classes are the components of the links and
     ``class_id`` the least id in one. ``n_links`` counts linked documents, copies
     among them, ``n_text_links`` different linked texts, ``n_copies`` the rows with
-    the same words (itself too). Case and punctuation do not count.
+    the same words (itself too). ``stays`` marks the one text of a class that has its
+    id; repeated rows of it are all marked. Case and punctuation do not count.
 
     Texts without words (null, empty) are linked to nothing and have ``n_copies`` 1;
     their class is their own id. Repeated rows are copies. Null ids are taken as any
@@ -355,12 +357,28 @@ def similar(
     )
     final = components(links.select(F.col("print").alias("a"), F.col("to").alias("b"))).withColumnRenamed("node", "print")
     counted = links.groupBy("print").agg(F.sum("text_links").alias("text_links"), F.sum("doc_links").alias("doc_links"))
-    classed = nodes.select("print", "id", "copies").join(final, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    least = classed.groupBy("root").agg(F.min("id").alias("class_id"))
-    told = classed.join(least, "root").join(counted, "print", "left").select("print", "class_id", "copies", "text_links", "doc_links")
+    classed = nodes.select("print", "id", "text_hash", "copies").join(final, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    least = classed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("least"))
+    told = classed.select("print", "root", "copies").join(least, "root").join(counted, "print", "left")
+    stays = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("text_hash") == F.col("least.text_hash"))
     return sketches.select("id", "text_hash", "print").join(told, "print", "left").select(
-        F.col("id").alias(id_col), "text_hash",
-        F.when(F.col("print").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.col("id").alias(id_col), "text_hash", (F.col("print").isNull() | stays).alias("stays"),
+        F.when(F.col("print").isNull(), F.col("id")).otherwise(F.col("least.id")).alias("class_id"),
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("doc_links", F.lit(0))).alias("n_links"),
         F.coalesce("text_links", F.lit(0)).alias("n_text_links"), F.coalesce("copies", F.lit(1)).alias("n_copies"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each class of similar texts, with all its columns as they are: the
+    one with the least id. Texts without words all stay."""
+    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    found = similar(docs).where("stays")
+    keys = ["__place", "__text_hash"]
+    place = F.xxhash64(F.col("doc_id").cast("long"), F.col("__text_hash"))
+    stay = found.withColumnRenamed("text_hash", "__text_hash").withColumn("__place", place).select(*keys).distinct()
+    rows = docs.withColumn("__text_hash", text_hash).withColumn("__place", place).join(stay, keys)
+    # Rows repeated in full would all match; rows without words stay as they are.
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    return rows.withColumn("__first", first).where((F.col("__first") == 1) | ~worded).select(*docs.columns)

@@ -79,4 +79,4 @@ def op10_lm(spark, sf_dir):
 
 @query
 def op9_jaccard(spark, sf_dir):
-    return jaccard.similar(table(spark, sf_dir, "documents")).drop("text_hash")
+    return jaccard.similar(table(spark, sf_dir, "documents")).drop("text_hash", "stays")

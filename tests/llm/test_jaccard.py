@@ -77,13 +77,13 @@ def test_against_all_pairs(spark, monkeypatch, bucket, texts):
     monkeypatch.setattr(jaccard, "BUCKET", bucket)
     monkeypatch.setattr(jaccard, "BLOCK_TEXTS", texts)
     rows = sample()
-    got = jaccard.similar(frame(spark, rows)).drop("text_hash")
+    got = jaccard.similar(frame(spark, rows)).drop("text_hash", "stays")
     assert sorted(map(tuple, got.collect()), key=str) == by_hand(rows)
 
 
 def test_empty_and_single(spark):
     assert jaccard.similar(frame(spark, [(1, "x")]).limit(0)).collect() == []
-    assert [tuple(r)[2:] for r in jaccard.similar(frame(spark, [(1, "x y")])).collect()] == [(1, 0, 0, 1)]
+    assert [tuple(r)[3:] for r in jaccard.similar(frame(spark, [(1, "x y")])).collect()] == [(1, 0, 0, 1)]
 
 
 def test_common_counts():
@@ -104,3 +104,20 @@ def test_components_of_a_long_chain(spark):
 def test_runs_grow_with_recall():
     assert jaccard.runs_for(0.9) < jaccard.runs_for(0.99) < jaccard.runs_for(0.9999)
     assert jaccard.runs_for(0.99, depth=1) <= 3
+
+
+def test_one_of_each(spark):
+    rows = sample(3) + [(7, "w1 w2 w3 w4 w5 w6"), (7, "other words here now yes"), (8, "other words here now yes!")]
+    docs = frame(spark, rows)
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    blank = [r for r in rows if not grams(r[1])[0]]
+    assert sorted(map(str, (r for r in kept if not grams(r[1])[0]))) == sorted(map(str, blank))
+    stayed = [r for r in kept if grams(r[1])[0]]
+    similarity = lambda a, b: len(a & b) / len(a | b)
+    made = [grams(t)[1] for _, t in stayed]
+    assert not any(similarity(a, b) >= 0.8 for a, b in itertools.combinations(made, 2))
+    left = [grams(t)[1] for r in rows if r not in stayed and grams(t := r[1])[0]]
+    linked = [g for g in (grams(t)[1] for _, t in rows if grams(t)[0])]
+    assert all(sum(similarity(g, o) >= 0.8 for o in linked) > 1 for g in left)
