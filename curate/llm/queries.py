@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curate.llm import arrow_stream, bpe, chat, decontaminate, jaccard, licenses, lm, quality
+from curate.llm import arrow_stream, bpe, chat, decontaminate, edit_counts, jaccard, licenses, lm, quality, search
 from curate.session import work_path
 
 QUERIES = {}
+COUNT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -26,6 +27,30 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+@query
+def op1_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.search(docs, docs.where(F.col("doc_id") % 100 == 0))
+
+
+@query
+def op2_edit_counts(spark, sf_dir):
+    """Three edits per document, their places and lengths drawn by hash, their text
+    taken from elsewhere in the document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    drawn = lambda i, what, n: F.pmod(F.xxhash64("doc_id", F.lit(i), F.lit(what)), n)
+    size = F.length("text") + F.lit(1)
+    edits = F.array(*(
+        F.struct(
+            drawn(i, "pos", size).alias("pos"), drawn(i, "removed", F.lit(24)).alias("removed"),
+            F.substring("text", drawn(i, "from", size).cast("int"), drawn(i, "added", F.lit(24)).cast("int")).alias("added"),
+        )
+        for i in range(3)
+    ))
+    counted = edit_counts.edited_counts(docs.withColumn("edits", edits), COUNT_VOCABULARY, public_tokenizers.PATTERN)
+    return counted.drop("counts")
+
+
 @query
 def op3_chat(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
