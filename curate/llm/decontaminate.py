@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curate.llm.words import normal_text, words_of
+from curate.llm.words import normal_text, once, words_of
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
 SPAN = 8
@@ -29,8 +29,8 @@ def _seeds(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Words are hashed once per text; a row carries hashes, never the text.
     """
-    hashed = df.where(F.size("words") >= SPAN).select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    n = F.size("h") - (SPAN - 1)
+    hashed = df.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    n = F.greatest(F.size("h") - (SPAN - 1), F.lit(0))
     zipped = F.arrays_zip(*(F.slice("h", k + 1, n).alias(f"w{k}") for k in range(SPAN)))
     rows = hashed.select(*keys, F.posexplode(zipped).alias("pos", "w"))
     masks = [F.xxhash64(*(F.col("w")[f"w{o}"] for o in mask)).alias(f"seed{m}") for m, mask in enumerate(MASKS)]
@@ -95,12 +95,13 @@ def overlaps(
     pairs = docs.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).join(
         near.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))
     )
-    words = pairs.select("doc_id", "item_id", "offset", "item_words", words_of(normal_text(F.col("text"))).alias("words"))
     n = F.size("item_words")
-    equal = F.transform(
-        "item_words", lambda w, k: F.coalesce(F.get(F.col("words"), k + F.col("offset")) == w, F.lit(False))
-    )
-    compared = words.select("doc_id", "item_id", "offset", n.alias("n"), equal.alias("equal"))
+
+    def aligned(words: Column) -> Column:
+        return F.transform("item_words", lambda w, k: F.coalesce(F.get(words, k + F.col("offset")) == w, F.lit(False)))
+
+    equal = once(words_of(normal_text(F.col("text"))), aligned)
+    compared = pairs.select("doc_id", "item_id", "offset", n.alias("n"), equal.alias("equal"))
     scored = compared.select(
         "doc_id", "item_id", "offset", "n", F.size(F.filter("equal", lambda x: x)).alias("n_equal"),
         _best_window(F.col("equal"), F.col("n")).alias("best"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -24,6 +25,12 @@ def words_of(normal: Column) -> Column:
     return F.when(normal == "", F.array().cast("array<string>")).otherwise(F.split(normal, " "))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once per row, also where ``body`` uses it
+    inside a function of array elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def count_words(normal: Column) -> Column:
     spaces = F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit("")))
     return F.when(normal == "", 0).otherwise(spaces + 1).cast("long")
