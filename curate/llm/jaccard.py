@@ -339,7 +339,8 @@ def similar(
         .select("print", "root", "copies", "blocks", F.col("id").alias("rid"), F.col("text_hash").alias("rhash")),
         "members",
     )
-    read = source.join(members, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rhash")))
+    # Members grow with the corpus, so both sides are shuffled at every size.
+    read = source.join(members.hint("merge"), F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rhash")))
     sets = read.select("print", "root", "copies", "blocks", "text").mapInArrow(
         _shingle_sets, "print binary, root binary, copies long, blocks int, shingles binary"
     )
