@@ -2,9 +2,11 @@
 
 A shard is an inverted index over a bounded run of documents: postings by term,
 in blocks of ``BLOCK`` documents, with the largest contribution of each term in
-each block. For a query the block maxima add up to a bound per block. The blocks
-of the highest bounds are scored first; once k documents are found, only blocks
-whose bound can still beat the k-th are opened. Document frequencies and lengths
+each block. For a query the block maxima add up to a bound per block; terms that
+most blocks have, whose maxima would not tell blocks apart, enter it with what the
+block's documents really have of them. The blocks of the highest bounds are scored
+first; once k documents are found, only blocks whose bound can still beat the k-th
+are opened. Document frequencies and lengths
 are those of the whole corpus, so the shards' lists merge to the exact result.
 
 Queries lie in the shared folder in blocks of bounded size; every shard reads each
@@ -33,6 +35,12 @@ BLOCK = 64
 SHARD_BYTES = 64 << 20
 QUERIES_AT_ONCE = 512
 FIRST_BLOCKS = 4
+# A shard ends at so many documents too; its terms in more than one of RARE documents,
+# at most COMMON of them, are added up for TOGETHER queries at a time as a product.
+SHARD_DOCS = 16384
+RARE = 16
+COMMON = 256
+TOGETHER = 64
 
 
 def _pairs(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -126,37 +134,72 @@ class Shard:
         self.term_entry = np.searchsorted(self.entry, self.first)
         self.n_docs = len(length)
         self.n_blocks = -(-self.n_docs // BLOCK)
+        # The most frequent terms also as columns over all documents.
+        n = np.diff(self.first)
+        common = np.argsort(-n, kind="stable")[:COMMON]
+        common = common[n[common] * RARE > self.n_docs]
+        self.column = np.full(len(self.terms), -1)
+        self.column[common] = np.arange(len(common))
+        self.dense = np.zeros((self.n_blocks * BLOCK, len(common)))
+        for c, t in enumerate(common):
+            run = slice(self.first[t], self.first[t + 1])
+            self.dense[self.doc[run], c] = self.weight[run]
 
-    def best(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents and scores, in units, that may be among the best k: all of those
-        at least as good as the k-th here. Documents without any term have none."""
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        found = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, idf = at[found], idf[found]
+    def answers(self, query: np.ndarray, terms: np.ndarray, idf: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For sorted rows (query, term, idf): each query with the documents and scores,
+        in units, at least as good as its k-th here; those without any term never."""
+        if not len(self.terms):
+            return
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        found = self.terms[at] == terms
+        query, at, idf = query[found], at[found], idf[found]
+        column = self.column[at]
+        weights = np.zeros(self.dense.shape[1])
+        weights[column[column >= 0]] = idf[column >= 0]
+        points = np.rint(self.dense * weights * UNIT).T
+        cuts = np.flatnonzero(np.append(True, query[1:] != query[:-1])[: len(query)])
+        for lo in range(0, len(cuts), TOGETHER):
+            first = cuts[lo : lo + TOGETHER]
+            last = cuts[lo + TOGETHER] if lo + TOGETHER < len(cuts) else len(query)
+            which = np.repeat(np.arange(len(first)), np.diff(np.append(first, last)))
+            part = slice(first[0], last)
+            asks = np.zeros((len(first), len(weights)))
+            is_common = column[part] >= 0
+            asks[which[is_common], column[part][is_common]] = 1
+            # Whole numbers below 2**53: exact in whatever order they are added.
+            common = (asks @ points).reshape(len(first), self.n_blocks, BLOCK)
+            top = common.max(2)
+            rare_at, rare_idf, rare_of = at[part][~is_common], idf[part][~is_common], which[~is_common]
+            edges = np.searchsorted(rare_of, np.arange(len(first) + 1))
+            for i, row in enumerate(first):
+                own = slice(edges[i], edges[i + 1])
+                yield int(query[row]), *self._best(common[i], top[i], rare_at[own], rare_idf[own], k)
+
+    def _best(self, common: np.ndarray, top: np.ndarray, at: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         n = self.term_entry[at + 1] - self.term_entry[at]
         entry = ranges(self.term_entry[at], n)
         factor = np.repeat(idf, n)
-        bound = np.bincount(self.entry_block[entry], np.rint(factor * self.entry_max[entry] * UNIT), self.n_blocks)
-        # By block, so that the postings of some blocks are a few runs of entries.
-        order = np.argsort(self.entry_block[entry], kind="stable")
-        entry, factor = entry[order], factor[order]
-        edges = np.searchsorted(self.entry_block[entry], np.arange(self.n_blocks + 1))
+        where = self.entry_block[entry]
+        # What a document of a block can have at most.
+        bound = top + np.bincount(where, np.ceil(factor * self.entry_max[entry] * UNIT), self.n_blocks)
         ranked = np.argsort(-bound, kind="stable")
         ranked = ranked[bound[ranked] > 0]
         docs, scores = np.empty(0, np.int64), np.empty(0)
         floor, lo, take = 0.0, 0, FIRST_BLOCKS
+        place = np.full(self.n_blocks, -1)
         while lo < len(ranked) and bound[ranked[lo]] >= floor:
-            opened = np.sort(ranked[lo : lo + take])
+            opened = ranked[lo : lo + take]
             opened = opened[bound[opened] >= floor]
-            chosen = ranges(edges[opened], edges[opened + 1] - edges[opened])
-            e, f = entry[chosen], factor[chosen]
+            place[:] = -1
+            place[opened] = np.arange(len(opened))
+            chosen = place[where] >= 0
+            e = entry[chosen]
             sizes = self.entry[e + 1] - self.entry[e]
             posting = ranges(self.entry[e], sizes)
-            points = np.rint(np.repeat(f, sizes) * self.weight[posting] * UNIT)
-            # Documents of the opened blocks, numbered without gaps.
-            slot = np.searchsorted(opened, self.doc[posting] // BLOCK) * BLOCK + self.doc[posting] % BLOCK
-            total = np.bincount(slot, points, len(opened) * BLOCK)
-            hit = np.flatnonzero(total)
+            points = np.rint(np.repeat(factor[chosen], sizes) * self.weight[posting] * UNIT)
+            doc = self.doc[posting]
+            total = common[opened].ravel() + np.bincount(place[doc // BLOCK] * BLOCK + doc % BLOCK, points, len(opened) * BLOCK)
+            hit = np.flatnonzero(total >= max(floor, 1))
             docs = np.concatenate((docs, opened[hit // BLOCK] * BLOCK + hit % BLOCK))
             scores = np.concatenate((scores, total[hit]))
             if len(scores) > k:
@@ -169,14 +212,15 @@ class Shard:
 
 def _search(paths: list[str], k: int, mean_length: float):
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
-        held, size = [], 0
+        held, size, docs = [], 0, 0
         for batch in batches:
             for part in slices(batch, "text"):
                 held.append(part)
                 size += part.column("text").nbytes
-                if size >= SHARD_BYTES:
+                docs += part.num_rows
+                if size >= SHARD_BYTES or docs >= SHARD_DOCS:
                     yield Shard(held, mean_length)
-                    held, size = [], 0
+                    held, size, docs = [], 0, 0
         if held:
             yield Shard(held, mean_length)
 
@@ -189,16 +233,14 @@ def _search(paths: list[str], k: int, mean_length: float):
                 query = rows.column("qid").to_numpy()
                 terms = rows.column("term").to_numpy().view(np.uint64)
                 idf = rows.column("idf").to_numpy()
-                cuts = [0, *(np.flatnonzero(np.diff(query)) + 1), len(query)]
                 out_query, out_doc, out_score = [], [], []
-                for lo, hi in zip(cuts, cuts[1:]):
-                    docs, scores = shard.best(terms[lo:hi], idf[lo:hi], k)
+                for number, docs, scores in shard.answers(query, terms, idf, k):
                     # Ties at the k-th place are cut by id here as in the merge.
                     ids = shard.ids.take(pa.array(docs))
                     order = pa.compute.sort_indices(
                         pa.table({"s": scores, "i": ids}), [("s", "descending"), ("i", "ascending")]
                     ).to_numpy()[:k]
-                    out_query.append(np.full(len(order), query[lo]))
+                    out_query.append(np.full(len(order), number))
                     out_doc.append(ids.take(pa.array(order)))
                     out_score.append(scores[order])
                 if out_query:

@@ -6,6 +6,8 @@ import random
 import re
 import string
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from curate.llm import search
@@ -55,6 +57,8 @@ def test_against_brute_force(spark, monkeypatch, block, shard):
     monkeypatch.setattr(search, "BLOCK", block)
     monkeypatch.setattr(search, "SHARD_BYTES", shard)
     monkeypatch.setattr(search, "QUERIES_AT_ONCE", 5)
+    monkeypatch.setattr(search, "TOGETHER", 3)
+    monkeypatch.setattr(search, "COMMON", block)
     docs, queries = sample()
     frame = lambda rows: spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, rank int, term string")
     got = sorted(map(tuple, search.search(frame(docs).repartition(3), frame(queries), 10).collect()))
@@ -63,24 +67,17 @@ def test_against_brute_force(spark, monkeypatch, block, shard):
     assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-6)
 
 
-def test_blocks_are_left_unopened():
-    import pyarrow as pa
-
+def test_blocks_are_left_unopened(monkeypatch):
     rng = random.Random(0)
-    texts = ["a rare " + "b " * 5 if i == 900 else "b " + " ".join(rng.choices("cdefgh", k=20)) for i in range(3000)]
+    texts = ["a rare " + "b " * 5 if i == 900 else "b " + " ".join(rng.choices([f"w{j}" for j in range(900)], k=20)) for i in range(3000)]
     part = pa.RecordBatch.from_arrays([pa.array(range(3000), pa.int64()), pa.array(texts)], ["id", "text"])
     shard = search.Shard([part], 20.0)
     _, terms, _, _ = search._pairs(part.slice(900, 1))
+    terms = np.unique(np.concatenate((terms, search._pairs(part.slice(5, 1))[1][:3])))
     opened = []
-    whole = search.ranges
-    search.ranges = lambda s, c: opened.append(len(s)) or whole(s, c)
-    try:
-        import numpy as np
-
-        docs, _ = shard.best(terms, np.array([8.0, 0.01, 8.0])[: len(terms)], 1)
-    finally:
-        search.ranges = whole
-    assert len(docs) and sum(opened[1::2]) < shard.n_blocks
+    monkeypatch.setattr(search.np, "partition", lambda x, k, f=np.partition: opened.append(len(x)) or f(x, k))
+    ((_, docs, _),) = shard.answers(np.zeros(len(terms), np.int64), terms, np.full(len(terms), 4.0), 1)
+    assert len(docs) == 1 and sum(opened) < 3000 / 2
 
 
 def test_empty_tables(spark):
