@@ -341,15 +341,15 @@ FROM questions
 _step("question_texts", ("questions",), "SELECT question AS doc_id, question AS text FROM questions")
 _vectors("question", "question_texts")
 
-# Every pair of question and document that shares a word.
+# Every pair of question and document that shares a word. Sums of decimals do not
+# depend on their order, so equal similarities tie.
 _step("scores", ("gold_vec", "question_vec"), """
-SELECT q.doc_id AS question, d.doc_id, sum(CAST(q.w AS DOUBLE) * CAST(d.w AS DOUBLE)) AS score
+SELECT q.doc_id AS question, d.doc_id, CAST(sum(CAST(CAST(q.w AS DOUBLE) * CAST(d.w AS DOUBLE) AS DECIMAL(38, 30))) AS DOUBLE) AS score
 FROM question_vec q JOIN gold_vec d USING (bucket) GROUP BY ALL
 """)
 _step("ranked", ("scores", "question_intents", "docs"), """
 SELECT s.question, i.k, i.answerable, i.intent, s.score, d.*,
-  floor(s.score * 1000000 + 0.5) AS steps,
-  row_number() OVER (PARTITION BY s.question ORDER BY floor(s.score * 1000000 + 0.5) DESC, s.doc_id) AS rank
+  row_number() OVER (PARTITION BY s.question ORDER BY s.score DESC, s.doc_id) AS rank
 FROM scores s JOIN question_intents i ON s.question = i.question JOIN docs d ON s.doc_id = d.doc_id
 """)
 # The record an answer is about: an extreme among the k retrieved (all for NULL
@@ -396,7 +396,7 @@ def _topk(questions: str, docs: str = "embeddings") -> str:
     return f"""
 SELECT question_id, doc_id, round(score, 4) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT question_id, doc_id, score, row_number() OVER (
-      PARTITION BY question_id ORDER BY floor(score * 1000000 + 0.5) DESC, doc_id) AS rank
+      PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank
   FROM (SELECT q.question_id, e.vec_id AS doc_id, {score} AS score FROM ({questions}) q, {docs} e))
 WHERE rank <= 3
 """

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 COPIES = "n_copies"
 VARIANTS = "n_variants"
-SKETCH_ITEMS = 100_000
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -45,23 +44,6 @@ def exact_groups(df: DataFrame, key: str | None = None) -> DataFrame:
     return rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def has_hot_key(df: DataFrame, key: str) -> bool:
-    """Whether some key, or the missing key, holds more rows than a shuffle
-    partition should.
-
-    One scan with a frequent-items sketch; no rows are shuffled and one row
-    comes back. It decides how rows travel, never the result.
-    """
-    found = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("missing"),
-        F.call_function("approx_top_k", F.col(key), F.lit(1), F.lit(SKETCH_ITEMS)).alias("top"),
-    ).first()
-    fair_share = found.rows / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = max([found.missing, *[item["count"] for item in found.top or []]])
-    return most > fair_share
-
-
 def fold_versions(groups: DataFrame, key: str, latest: str, then: str) -> DataFrame:
     """The rows of ``dedup_latest`` over ``exact_groups``, with the copies and
     the distinct versions each key had.

@@ -33,7 +33,7 @@ def embed(
     The default encoder hashes words into ``dim`` counts on the JVM side, one
     narrow pass over whole texts. ``encoder`` plugs in a model instead: it maps
     a list of texts to a matrix, runs on Arrow batches, and is shipped once per
-    task.
+    task. Missing text gives zeros under any encoder.
     """
     if encoder is None:
         hashed = HashingTF(numFeatures=dim, inputCol="_words", outputCol="_counts").transform(
@@ -47,7 +47,8 @@ def embed(
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            matrix = np.asarray(encoder(batch.fillna("").tolist()), dtype="float64")
+            matrix = np.array(encoder(batch.fillna("").tolist()), dtype="float64")
+            matrix[batch.isna().to_numpy()] = 0.0
             length = np.linalg.norm(matrix, axis=1, keepdims=True)
             matrix = matrix / np.where(length == 0, 1.0, length)
             yield pd.Series(list(matrix.astype("float32")))

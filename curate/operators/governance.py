@@ -36,15 +36,20 @@ def mask_columns(
     reader: bool | Column,
     classifications: Iterable[str] = ("PII",),
     mask: str = MASK_TEXT,
+    untagged_ok: bool = False,
 ) -> DataFrame:
     """Replace the values of classified columns unless ``reader`` holds.
 
     ``reader`` may be a column, to decide row by row. Which columns are masked
-    follows from their tags.
+    follows from their tags. A table without any such column is an error, since its
+    tags may have been lost, unless ``untagged_ok``.
     """
+    names = tagged_columns(df, classifications)
+    if not names and not untagged_ok:
+        raise ValueError(f"no column is tagged {', '.join(classifications)}")
     allowed = F.lit(reader) if isinstance(reader, bool) else reader
     masked = {}
-    for name in tagged_columns(df, classifications):
+    for name in names:
         value = F.when(allowed, F.col(name).cast("string")).otherwise(mask)
         masked[name] = value.alias(name, metadata=df.schema[name].metadata)
     return df.select(*[masked.get(c, F.col(c)) for c in df.columns])

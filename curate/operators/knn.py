@@ -10,7 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil
+from math import ceil, fsum
 
 import numpy as np
 import pandas as pd
@@ -26,9 +26,10 @@ from curate.fixed_values import DEFAULT_K
 # not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Ranking compares scores at single precision, in whole steps of this size, and
-# then ids: otherwise the last bits of a sum would decide between equal texts.
-SCORE_STEPS = 1_000_000
+# Scores of a matrix product err by less than this part of the vectors' lengths.
+# What may be among the best by it is scored again by exactly rounded sums, so
+# that ranks follow the scores themselves and equal scores the ids.
+PRODUCT_ERROR = 1e-12
 # Question tables up to this many rows and bytes travel to every task.
 MAX_SHARED_QUESTIONS = 4096
 MAX_SHARED_BYTES = 64 << 20
@@ -58,8 +59,8 @@ class _BestHits:
     ks: np.ndarray
 
     def __post_init__(self) -> None:
-        self.hits = pd.DataFrame({"q": [], "steps": [], "id": [], "score": []})
-        self.floor = np.full(len(self.ks), np.iinfo("int64").min)
+        self.hits = pd.DataFrame({"q": [], "id": [], "score": []})
+        self.floor = np.full(len(self.ks), -np.inf)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         rows = max(1, _CELLS // max(1, len(self.questions)))
@@ -67,24 +68,25 @@ class _BestHits:
             self._add_slice(ids[start : start + rows], vectors[start : start + rows])
 
     def _add_slice(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        scores = vectors @ self.questions.T
-        steps = np.floor(scores * SCORE_STEPS + 0.5).astype("int64")
+        rough = vectors @ self.questions.T
+        longest = np.sqrt((vectors * vectors).sum(1).max(initial=0))
+        error = PRODUCT_ERROR * longest * np.sqrt((self.questions * self.questions).sum(1))
         # Below the k-th best of what was seen, or of this slice, nothing counts.
-        k_max = int(self.ks.max())
-        floor = self.floor
-        if k_max < len(ids):
-            kth = np.partition(steps, len(ids) - k_max, axis=0)[len(ids) - k_max]
-            floor = np.maximum(floor, kth)
-        row, q = np.nonzero(steps >= floor)
-        fresh = pd.DataFrame(
-            {"q": q, "steps": steps[row, q], "id": ids[row], "score": scores[row, q]}
-        )
+        floor = self.floor.copy()
+        for k in np.unique(self.ks):
+            if k < len(ids):
+                own = self.ks == k
+                kth = np.partition(rough[:, own], len(ids) - k, axis=0)[len(ids) - k]
+                floor[own] = np.maximum(floor[own], kth - error[own])
+        row, q = np.nonzero(rough >= floor - error)
+        score = [fsum(vectors[r] * self.questions[c]) for r, c in zip(row, q)]
+        fresh = pd.DataFrame({"q": q, "id": ids[row], "score": np.array(score, "float64")})
         merged = fresh if self.hits.empty else pd.concat([self.hits, fresh], ignore_index=True)
-        merged = merged.sort_values(["q", "steps", "id"], ascending=[True, False, True])
+        merged = merged.sort_values(["q", "score", "id"], ascending=[True, False, True])
         place = merged.groupby("q").cumcount().to_numpy()
         merged = merged[place < self.ks[merged["q"].to_numpy()]]
         self.hits = merged
-        count = merged.groupby("q")["steps"].agg(["size", "min"])
+        count = merged.groupby("q")["score"].agg(["size", "min"])
         full = count[count["size"].to_numpy() >= self.ks[count.index.to_numpy()]]
         self.floor[full.index.to_numpy()] = full["min"].to_numpy()
 
@@ -95,7 +97,6 @@ def _hits_schema(question_type: T.DataType, docs: DataFrame) -> T.StructType:
             T.StructField("question_id", question_type),
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
             T.StructField("score", T.DoubleType()),
-            T.StructField("steps", T.LongType()),
             T.StructField("k", T.IntegerType()),
         ]
     )
@@ -108,7 +109,6 @@ def _hits_table(best: _BestHits, question_ids: list, schema: pa.Schema) -> pa.Ta
             pa.array([question_ids[i] for i in q], type=schema.field("question_id").type),
             pa.array(best.hits["id"].tolist(), type=schema.field("doc_id").type),
             pa.array(best.hits["score"].to_numpy(dtype="float64")),
-            pa.array(best.hits["steps"].to_numpy(dtype="int64")),
             pa.array(best.ks[q].astype("int32")),
         ],
         schema=schema,
@@ -193,6 +193,7 @@ def knn_join(
     vectors of one length. Where there are fewer than k documents all are
     returned. To restrict what readers may retrieve, filter ``docs`` first.
     """
+    asked = questions.schema.names if isinstance(questions, pa.Table) else questions.columns
     searched = docs.select("doc_id", "vec").where(F.col("vec").isNotNull())
     if isinstance(questions, pa.Table):
         shared = questions
@@ -212,9 +213,14 @@ def knn_join(
             if shared.num_rows
             else docs.sparkSession.createDataFrame([], schema)
         )
-    best_first = Window.partitionBy("question_id").orderBy(F.col("steps").desc(), "doc_id")
+    best_first = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "doc_id")
+    ranked = hits.withColumn("rank", F.row_number().over(best_first))
+    if shared is not None:
+        # A constant lets each task keep its best rows before the shuffle.
+        ranked = ranked.where(F.col("rank") <= (pc.max(shared.column("k")).as_py() or 0))
+    elif "k" not in asked:
+        ranked = ranked.where(F.col("rank") <= k)
     return (
-        hits.withColumn("rank", F.row_number().over(best_first))
-        .where(F.col("rank") <= F.col("k"))
+        ranked.where(F.col("rank") <= F.col("k"))
         .select("question_id", "doc_id", "score", "rank")
     )

@@ -30,26 +30,40 @@ def write_clustered(
     parts.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the parquet files below ``path``, without reading them."""
-    listed = (
+def parquet_files(spark: SparkSession, path: str) -> DataFrame:
+    """The parquet files below ``path``; their contents stay unread unless asked for."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(path)
+        .select("path", "length")
     )
-    return listed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def compact(spark: SparkSession, path: str, out: str, target_mb: int = 512) -> int:
-    """Rewrite many small files as few of about ``target_mb``; returns how many.
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the parquet files below ``path``, without reading them."""
+    return parquet_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def compact(
+    spark: SparkSession, path: str, out: str, target_mb: int = 512, keys: Sequence[str] = ()
+) -> int:
+    """Rewrite many small files as files of about ``target_mb``; returns how many.
 
-    The scan already packs small files into tasks, so tasks are merged without
-    a shuffle. ``out`` must be a new folder: readers move over when it is whole.
+    Without ``keys`` the scan's tasks are merged, no shuffle, and files mix what
+    lay apart. A table that was clustered names its ``keys`` and is clustered
+    again. ``out`` must be a new folder: readers move over when it is whole.
     """
     files = max(1, ceil(folder_bytes(spark, path) / (target_mb << 20)))
-    spark.read.parquet(path).coalesce(files).write.mode("errorifexists").parquet(out)
-    return files
+    rows = spark.read.parquet(path)
+    if keys:
+        ranged = rows.repartitionByRange(files, *keys, F.xxhash64(*rows.columns))
+        rows = ranged.sortWithinPartitions(*keys)
+    else:
+        rows = rows.coalesce(files)
+    rows.write.mode("errorifexists").parquet(out)
+    return parquet_files(spark, out).count()
 
 
 def runtime_settings(spark: SparkSession) -> dict[str, str]:

@@ -12,16 +12,13 @@ from curate.functions.casting import safe_cast
 from curate.functions.dates import parse_mixed_date
 from curate.functions.rates import band, exact_rate, safe_rate
 from curate.operators.aggregate import weighted_rate
-from curate.operators.dedup import dedup_latest, exact_groups, fold_versions, has_hot_key
+from curate.operators.dedup import dedup_latest, exact_groups, fold_versions
 from curate.operators.headers import clean_headers
 from curate.operators.quality import dq_report
 from curate.operators.quarantine import quarantine
 from curate.operators.validate import flag_reconcile, validate_range
 from curate.sources.tables import append_log, layer_path, write_replace
 
-# Scans of this many splits, over 100 GB, count as large.
-MANY_SPLITS = 1000
-
 DAY_COLUMNS = ("number_of_days", "days_attended", "days_absent")
 
 
@@ -49,19 +46,15 @@ def latest_records(raw: DataFrame) -> DataFrame:
     return flagged(dedup_latest(dated(typed(raw)), "fileno", "course_date", "applicant"))
 
 
-def counted_records(raw: DataFrame, even_keys: bool | None = None) -> DataFrame:
+def counted_records(raw: DataFrame, even_keys: bool = False) -> DataFrame:
     """The same records with the copies and versions each had, for the report.
 
     Counting copies exactly takes a shuffle of whole rows, and folding versions
     per key another; both collapse what they can beforehand, so hot keys do no
-    harm. Where keys are even, one shuffle by key serves both. ``even_keys``
-    says so; by default large inputs are asked, at the cost of a scan of one
-    column, and small ones take two shuffles.
+    harm. Where a caller knows that keys are even, one shuffle by key serves
+    both. The plan is the same at every size, and building it runs nothing.
     """
-    rows = typed(raw)
-    if even_keys is None:
-        even_keys = raw.rdd.getNumPartitions() >= MANY_SPLITS and not has_hot_key(rows, "fileno")
-    groups = exact_groups(rows, key="fileno" if even_keys else None)
+    groups = exact_groups(typed(raw), key="fileno" if even_keys else None)
     return flagged(fold_versions(dated(groups), "fileno", "course_date", "applicant"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from curate.fixed_values import LAYERS
@@ -17,9 +19,30 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
 
 
 def write_replace(df: DataFrame, target: str) -> None:
-    """Replace the whole of ``target``. It must not be an input of ``df``."""
-    writer = df.write.mode("overwrite").format("parquet")
-    writer.save(target) if _is_path(target) else writer.saveAsTable(target)
+    """Replace the whole of ``target``. It must not be an input of ``df``.
+
+    A folder is written beside the old one and takes its place when it is whole,
+    by renaming: a job that fails leaves the old table as it was.
+    """
+    if not _is_path(target):
+        df.write.mode("overwrite").format("parquet").saveAsTable(target)
+        return
+    target = target.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = f"{target}.next-{mark}", f"{target}.old-{mark}"
+    df.write.parquet(fresh)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(conf)
+    replaced = system.exists(path(target))
+    if replaced and not system.rename(path(target), path(old)):
+        raise OSError(f"cannot move {target} away")
+    if not system.rename(path(fresh), path(target)):
+        if replaced:
+            system.rename(path(old), path(target))
+        raise OSError(f"cannot move {fresh} into place")
+    if replaced:
+        system.delete(path(old), True)
 
 
 def append_log(df: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from curate.operators.dedup import dedup_exact, dedup_latest, exact_groups, fold_versions, has_hot_key
+from curate.operators.dedup import dedup_exact, dedup_latest, exact_groups, fold_versions
 from curate.plans import medallion
 
 SCHEMA = "key string, name string, d date, note string, n int"
@@ -97,16 +97,7 @@ def test_empty_input(spark):
     assert fold_versions(exact_groups(empty), "key", "d", "name").count() == 0
 
 
-def test_hot_keys_are_found(spark):
-    df = messy(spark)
-    assert has_hot_key(df, "key")
-    assert not has_hot_key(df.limit(0), "key")
-    assert not has_hot_key(spark.range(4000).select(F.col("id").cast("string").alias("key")), "key")
-    gaps = spark.createDataFrame([(None,)] * 50 + [(str(i),) for i in range(50)], "key string")
-    assert has_hot_key(gaps, "key")
-
-
-def test_one_shuffle_gives_the_same_records(spark, records, monkeypatch):
+def test_one_shuffle_gives_the_same_records(spark, records):
     rng = random.Random(5)
     rows = []
     for i in range(3000):
@@ -123,9 +114,12 @@ def test_one_shuffle_gives_the_same_records(spark, records, monkeypatch):
         return plan.split("Initial Plan")[-1].count("Exchange hashpartitioning")
 
     assert (shuffles(one), shuffles(two)) == (1, 2)
-    # Left to itself: two shuffles when small, and when large only for hot keys.
     assert shuffles(medallion.counted_records(raw)) == 2
-    monkeypatch.setattr(medallion, "MANY_SPLITS", 1)
-    assert shuffles(medallion.counted_records(raw)) == 1
-    hot = records(rows + [("HOT", *r[1:]) for r in rows[:1500]])
-    assert shuffles(medallion.counted_records(hot)) == 2
+
+
+def test_building_the_plan_runs_nothing(spark, records):
+    raw = records([("k", "a", "30", "B", "C", "2024-01-01", "3", "1", "2")]).repartition(3)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    medallion.counted_records(raw)
+    assert len(tracker.getJobIdsForGroup(None)) == before

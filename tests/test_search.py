@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -23,9 +25,8 @@ def frames(spark, n_docs=900, n_questions=12):
 def brute_force(asked, docs, k):
     expected = {}
     for i, q in enumerate(asked):
-        scores = docs.astype("float64") @ q.astype("float64")
-        steps = np.floor(scores * 1e6 + 0.5)
-        order = sorted(range(len(docs)), key=lambda j: (-steps[j], f"d{j:04}"))[:k]
+        scores = [math.fsum(d.astype("float64") * q.astype("float64")) for d in docs]
+        order = sorted(range(len(docs)), key=lambda j: (-scores[j], f"d{j:04}"))[:k]
         expected[i] = [f"d{j:04}" for j in order]
     return expected
 
@@ -45,6 +46,15 @@ def test_shared_and_blocked_search_agree_with_brute_force(spark, k):
     assert got(knn_join(q, d, k, max_shared_questions=0, block_rows=100)) == expected
 
 
+def test_close_scores_rank_by_score_and_limit_each_task(spark):
+    d = spark.createDataFrame([("a", [0.5, 0.0]), ("b", [0.5000004, 0.0]), ("c", [0.5000004, 0.0])], "doc_id string, vec array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 3)], "question_id int, vec array<double>, k int")
+    hits = knn_join(q, d)
+    assert got(hits) == {1: ["b"], 2: ["b", "c", "a"]}
+    assert got(knn_join(q, d, max_shared_questions=0)) == {1: ["b"], 2: ["b", "c", "a"]}
+    assert "WindowGroupLimit" in hits._jdf.queryExecution().executedPlan().toString()
+
+
 def test_small_slices_keep_all_hits(spark, monkeypatch):
     q, d, asked, docs = frames(spark)
     monkeypatch.setattr("curate.operators.knn._CELLS", 100)

@@ -7,7 +7,8 @@ from curate import session
 from curate.operators import governance, layout
 from curate.plans import medallion
 from curate.session import work_path
-from curate.sources import tables
+from curate.fixed_values import ATTENDANCE_HEADERS
+from curate.sources import csv, tables
 from curate.sources.csv import read_bronze
 
 
@@ -119,6 +120,61 @@ def test_compaction(spark):
         layout.compact(spark, small, out)
 
 
+def test_compaction_keeps_clustering(spark):
+    path, small, out = (work_path(spark, n) for n in ("a", "b", "c"))
+    rows = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    layout.write_clustered(rows, path, ("key",), files=32)
+    layout.write_clustered(rows, small, ("key",), files=4)
+
+    def span(folder):
+        per = spark.read.parquet(folder).groupBy("_metadata.file_path").agg((F.max("key") - F.min("key")).alias("s"))
+        return per.agg(F.avg("s"), F.count("*")).first()
+
+    target = max(1, layout.folder_bytes(spark, path) // 4 >> 20)
+    wrote = layout.compact(spark, path, out, target_mb=target, keys=("key",))
+    average, files = span(out)
+    assert files == wrote and wrote < 32 and average <= 40_000 / wrote * 1.5
+
+
+def test_failed_replacement_leaves_the_old_table(spark):
+    path = work_path(spark, "kept")
+    tables.write_replace(spark.range(5), path)
+    bad = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception):
+        tables.write_replace(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    tables.write_replace(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_malformed_records_are_kept(spark, tmp_path, streamed):
+    header = ",".join(f'"{h}"' for h in ATTENDANCE_HEADERS)
+    good = "R-1,Ada,30,B,C,2024-01-01,3,1,2"
+    lines = [good, good + ",tenth", "R-2,short,1,2", 'R-3,"Ap', 'ril",30,B,C,2024-01-01,3,1,2', good.replace("R-1", "R-4")]
+    (tmp_path / "feed.csv").write_text("\n".join([header, *lines]) + "\n")
+    if streamed:
+        out = work_path(spark, "lines")
+        stream = csv.stream_lines(spark, str(tmp_path)).writeStream.format("parquet").option("checkpointLocation", work_path(spark, "c"))
+        stream.trigger(availableNow=True).start(out).awaitTermination()
+        rows = spark.read.parquet(out)
+    else:
+        rows = csv.read_lines(spark, str(tmp_path))
+    first = next(iter(ATTENDANCE_HEADERS))
+    assert sorted(r[0] for r in csv.records(rows).select(f"`{first}`").collect()) == ["R-1", "R-4"]
+    bad = csv.malformed(rows).collect()
+    assert sorted(r.record for r in bad) == sorted(lines[1:5]) and {r.reject_reason for r in bad} == {"malformed_record"}
+    if not streamed:
+        assert csv.read_bronze(spark, str(tmp_path)).count() == 2
+        assert csv.read_bronze(spark, str(tmp_path), multi_line=True).count() == 3
+
+
+def test_masking_needs_tags(spark):
+    with pytest.raises(ValueError):
+        governance.mask_columns(spark.range(1), reader=False)
+    assert governance.mask_columns(spark.range(1), reader=False, untagged_ok=True).columns == ["id"]
+
+
 def test_runtime_settings(spark):
     settings = layout.runtime_settings(spark)
     assert len(settings) == 4 and settings["spark.sql.adaptive.enabled"] == "true"
