@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from curate.fixed_values import ATTENDANCE_HEADERS
 
@@ -39,13 +39,20 @@ def read_lines(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCH
     return _options(spark.read, schema, multi_line).csv(path)
 
 
+def _where(lines: DataFrame, condition: Column) -> DataFrame:
+    # Spark refuses scans of the malformed text alone, as a count would ask for; the
+    # length of another column, which is never negative, makes it a second one.
+    other = F.length(F.concat_ws("", F.col(f"`{lines.columns[0]}`")))
+    return lines.where(condition & (other >= 0))
+
+
 def records(lines: DataFrame) -> DataFrame:
-    return lines.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    return _where(lines, F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
 def malformed(lines: DataFrame) -> DataFrame:
     """(record, reject_reason) of every line that is no record."""
-    return lines.where(F.col(MALFORMED).isNotNull()).select(
+    return _where(lines, F.col(MALFORMED).isNotNull()).select(
         F.col(MALFORMED).alias("record"), F.lit(MALFORMED_REASON).alias("reject_reason")
     )
 
