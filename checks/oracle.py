@@ -439,6 +439,12 @@ def _with_renamed(batch: int) -> str:
     )
 
 
+def _place(*order: str) -> str:
+    """The place of a row in a report: lowest first, no value before all."""
+    keys = ", ".join(f"{column} NULLS FIRST" for column in order)
+    return f"CAST(row_number() OVER (ORDER BY {keys}) AS INTEGER) AS place"
+
+
 ORACLE: dict[str, str] = {
     "src_csv": _with("feed") + f"SELECT {_CSV_RAW} FROM feed",
     "src_view": _with("feed") + "SELECT fileno, branch, course_date_raw FROM feed",
@@ -484,15 +490,15 @@ FROM (SELECT *, {_int('age_raw')} AS age FROM feed)""",
     "gold_by_course": _with("by_course") + "SELECT * FROM by_course",
     "gold_by_branch_strict": _with("silver") + _weighted("branch", "WHERE NOT dq_days_mismatch"),
     "q1_weighted": _with("by_branch")
-    + "SELECT branch, attendance_rate, num_records FROM by_branch ORDER BY attendance_rate",
+    + f"SELECT branch, attendance_rate, num_records, {_place('attendance_rate', 'branch')} FROM by_branch",
     "q1_simple_mean": _with("gold")
     # The mean in ten-thousandths, rounded half up in integers.
-    + """SELECT branch, CASE WHEN n > 0 THEN ((2 * total + n) // (2 * n)) / 10000.0::DOUBLE END AS avg_attendance_rate,
+    + f"""SELECT *, {_place('avg_attendance_rate', 'branch')} FROM (
+SELECT branch, CASE WHEN n > 0 THEN ((2 * total + n) // (2 * n)) / 10000.0::DOUBLE END AS avg_attendance_rate,
   num_records
 FROM (SELECT branch, count(*) AS num_records, count(attendance_rate) AS n,
         CAST(sum(CAST(round(attendance_rate * 10000) AS BIGINT)) AS BIGINT) AS total
-      FROM gold GROUP BY branch)
-ORDER BY avg_attendance_rate""",
+      FROM gold GROUP BY branch))""",
     "row_counts": _with("totals")
     + """SELECT rows_in, after_exact AS rows_after_exact_dedup, after_key AS rows_after_key_dedup,
   (SELECT count(*) FROM staged WHERE course_date IS NOT NULL) AS rows_curated,
@@ -515,14 +521,14 @@ ORDER BY avg_attendance_rate""",
     + "SELECT rule_name, rows_in, rows_evaluated, rows_passed, rows_failed FROM report "
     f"WHERE rule_name = '{fixed.KEY_RULE[0]}'",
     "dq_report": _with("report") + "SELECT * FROM report",
-    "sort_report": _with("report") + "SELECT * FROM report ORDER BY severity, rule_name",
+    "sort_report": _with("report") + f"SELECT *, {_place('severity', 'rule_name')} FROM report",
     "pass_rate": _with("report") + "SELECT rule_name, pass_rate FROM report",
     "dq_log": _with("report")
     + "SELECT * FROM report UNION ALL "
     "SELECT * REPLACE ('run-0' AS run_id, '2024-08-01 12:00:00' AS run_ts) FROM report",
     "dq_alerts": _with("report")
-    + "SELECT run_ts, rule_name, severity, rows_evaluated, rows_failed, pass_rate FROM report "
-    f"WHERE {_ALERTS} ORDER BY severity, pass_rate",
+    + "SELECT run_ts, rule_name, severity, rows_evaluated, rows_failed, pass_rate, "
+    f"{_place('severity', 'pass_rate', 'rule_name')} FROM report WHERE {_ALERTS}",
     "expectations": _with("staged")
     + "\nUNION ALL\n".join(
         f"""SELECT '{name}' AS expectation, '{action}' AS on_failure,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from curate import fixed_values as fixed
 from curate.functions.dates import parse_mixed_date
@@ -74,6 +74,13 @@ def ts_text(df: DataFrame) -> DataFrame:
     return df.withColumn("run_ts", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
+def in_order(df: DataFrame) -> DataFrame:
+    """Add the place of each row in the order ``df`` comes in. For reports of a few
+    lines and groups: they are numbered in one task."""
+    met = df.withColumn("_met", F.monotonically_increasing_id())
+    return met.withColumn("place", F.row_number().over(Window.orderBy("_met"))).drop("_met")
+
+
 def flat_metadata(df: DataFrame) -> DataFrame:
     others = [c for c in df.columns if c != "metadata"]
     return df.select(*others, "metadata.*")
@@ -121,7 +128,7 @@ def sink_append(spark, sf):
     earlier, latest = two_runs(spark, sf)
     tables.append_log(earlier.drop("pass_rate"), path)
     tables.append_log(latest, path)
-    return ts_text(tables.read_log(spark, path))
+    return ts_text(tables.read_log(spark, path).drop(tables.LOG_DATE))
 
 
 # --- projection, renaming, filters -----------------------------------------------
@@ -265,12 +272,12 @@ def gold_by_branch_strict(spark, sf):
 
 @query
 def q1_weighted(spark, sf):
-    return aggregate.rank_groups(aggregate.weighted_rate(silver(spark, sf), "branch"), "branch")
+    return in_order(aggregate.rank_groups(aggregate.weighted_rate(silver(spark, sf), "branch"), "branch"))
 
 
 @query
 def q1_simple_mean(spark, sf):
-    return aggregate.simple_rate(gold(spark, sf), "branch")
+    return in_order(aggregate.simple_rate(gold(spark, sf), "branch"))
 
 
 @query
@@ -331,7 +338,7 @@ def dq_report(spark, sf):
 
 @query
 def sort_report(spark, sf):
-    return ts_text(quality.sort_report(report(spark, sf)))
+    return in_order(ts_text(quality.sort_report(report(spark, sf))))
 
 
 @query
@@ -344,7 +351,7 @@ def dq_log(spark, sf):
     path = work_path(spark, "dq-log")
     for lines in two_runs(spark, sf):
         tables.append_log(lines, path)
-    return ts_text(tables.read_log(spark, path))
+    return ts_text(tables.read_log(spark, path).drop(tables.LOG_DATE))
 
 
 @query
@@ -353,7 +360,7 @@ def dq_alerts(spark, sf):
     for lines in two_runs(spark, sf):
         tables.append_log(lines, path)
     log = tables.read_log(spark, path)
-    return ts_text(quality.alerts(log, now=datetime(2024, 9, 1, 18, 0, 0)))
+    return in_order(ts_text(quality.alerts(log, now=datetime(2024, 9, 1, 18, 0, 0))))
 
 
 @query

@@ -17,6 +17,7 @@ from curate.fixed_values import (
     ROW_RULES,
 )
 from curate.operators.dedup import COPIES, VARIANTS
+from curate.sources.tables import LOG_DATE
 
 
 @dataclass(frozen=True)
@@ -169,15 +170,19 @@ def alerts(
     floor: float = ALERT_FLOOR,
 ) -> DataFrame:
     """Recent log lines to act on: a blocking rule with any failure, or a warn
-    rule below ``floor``. An unknown pass rate never fires."""
+    rule below ``floor``. An unknown pass rate never fires. Of a log kept by
+    days only the days of the window are read."""
     current = F.current_timestamp() if now is None else _timestamp(now)
+    if LOG_DATE in log.columns:
+        # A day more, for runs written under another time zone.
+        log = log.where(F.col(LOG_DATE) >= F.date_sub(F.to_date(current), window_days + 1))
     recent = F.col("run_ts") >= current - F.make_dt_interval(F.lit(window_days))
     blocking = (F.col("severity") == "blocking") & (F.col("rows_failed") > 0)
     low = (F.col("severity") == "warn") & (F.col("pass_rate") < floor)
     return (
         log.where(recent & (blocking | low))
         .select("run_ts", "rule_name", "severity", "rows_evaluated", "rows_failed", "pass_rate")
-        .orderBy("severity", "pass_rate")
+        .orderBy("severity", "pass_rate", "rule_name", "run_ts")
     )
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curate.fixed_values import LAYERS
 
+# Folders of a log: the day of a run, then the run.
+LOG_DATE = "log_date"
+LOG_RUN = "log_run"
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
@@ -46,13 +50,23 @@ def write_replace(df: DataFrame, target: str) -> None:
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    """Add rows to a parquet log; later runs may bring new columns."""
-    df.write.mode("append").parquet(path)
+    """Add the rows of a run (``run_id``, ``run_ts``) to a parquet log.
+
+    They lie under the run's day and id, so a run that is repeated replaces its
+    own rows, and readers of some days skip the others. Later runs may bring new
+    columns.
+    """
+    placed = df.withColumns({LOG_DATE: F.to_date("run_ts"), LOG_RUN: F.col("run_id")})
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(LOG_DATE, LOG_RUN).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The whole log under one schema; columns a run did not have are NULL."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """The whole log under one schema; columns a run did not have are NULL.
+
+    A log of ``append_log`` also has the day of each run as ``LOG_DATE``.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path).drop(LOG_RUN)
 
 
 def as_view(df: DataFrame, name: str) -> str:

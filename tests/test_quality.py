@@ -124,6 +124,23 @@ def test_log_grows_and_takes_new_columns(spark, report):
     assert {r.run_id: r.n for r in log.groupBy("run_id").agg(F.count("pass_rate").alias("n")).collect()} == {"r1": 0, "r2": 6}
 
 
+def test_repeated_run_replaces_itself(spark, report):
+    path = work_path(spark, "log")
+    for _ in range(2):
+        append_log(report, path)
+    assert read_log(spark, path).count() == 6
+
+
+def test_alerts_read_the_days_of_the_window_only(spark, report):
+    path = work_path(spark, "log")
+    append_log(report, path)
+    append_log(report.withColumns({"run_id": F.lit("r0"), "run_ts": F.lit(TS - timedelta(days=40))}), path)
+    fired = quality.alerts(read_log(spark, path), now=TS)
+    assert [r.rule_name for r in fired.collect()] == ["course_date_parseable", "age_in_range_16_100", "days_reconcile"]
+    plan = fired._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in plan
+
+
 def test_time_of_a_run_is_on_the_session_clock(spark, sample):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
