@@ -169,8 +169,10 @@ def rejects(spark, sf):
 
 @query
 def pred_range(spark, sf):
-    age = F.col("age_raw").try_cast("int")
-    return typed(spark, sf).where(age.between(fixed.AGE_MIN, fixed.AGE_MAX)).select("fileno", "age_raw")
+    aged = validate_range(
+        typed(spark, sf), "age_raw", fixed.AGE_MIN, fixed.AGE_MAX, "age_clean", "is_age_valid"
+    )
+    return aged.where("is_age_valid").select("fileno", "age_raw")
 
 
 @query
