@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -226,7 +227,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarra
     order = np.argsort(column, kind="stable")
     column, member = column[order], member[order]
     many = count[column]
-    common = np.zeros((m, len(right) if right is not None else m), np.float32)
+    common = np.zeros((m, len(right) if right is not None else m), np.int32)
     # Shingles of few texts pair by pair, the others by matrix products.
     for c in range(2, 9):
         rows = member[many == c].reshape(-1, c)
@@ -245,10 +246,18 @@ def _common(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarra
         here = (column >= lo) & (column < lo + 1024)
         table = np.zeros((len(sets), 1024), np.float32)
         table[member[here], column[here] - lo] = 1
-        common += table[:m] @ (table[m:] if right is not None else table).T
+        # At most 1,024 each, so the product of floats is exact.
+        common += (table[:m] @ (table[m:] if right is not None else table).T).astype(np.int32)
     return common
 
 
+def _linked(common: np.ndarray, across: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether ``common`` of the shingles of two sets, ``across`` together, make them
+    similar: in whole numbers, so that a similarity of exactly the threshold counts."""
+    share = Fraction(threshold).limit_denominator(1_000_000)
+    return common.astype(np.int64) * (share.numerator + share.denominator) >= share.numerator * across
+
+
 def _verify(threshold: float):
     """Blocks of a component to each member's links and the root they lead to."""
 
@@ -267,8 +276,7 @@ def _verify(threshold: float):
             common = _common([kept[p][2] for p in left], [kept[p][2] for p in right] if right else None)
             sizes = np.array([len(kept[p][2]) for p in names])
             across = sizes[: len(left), None] + (sizes[len(left) :] if right else sizes)[None, :]
-            # In whole numbers, so that a similarity of exactly the threshold counts.
-            linked = common * (1 + threshold) >= threshold * across - 1e-6
+            linked = _linked(common, across, threshold)
             if not right:
                 np.fill_diagonal(linked, False)
             a, b = np.nonzero(linked)

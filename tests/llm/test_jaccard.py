@@ -6,6 +6,7 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from curate.llm import jaccard
@@ -95,6 +96,31 @@ def test_common_counts():
     assert np.array_equal(jaccard._common(sets[:11], sets[11:]), want[:11, 11:])
 
 
+def test_exactly_the_threshold_is_a_link():
+    # 4k of 5k shingles, and one less, for each k; the second time over two blocks.
+    for second in (0, 1):
+        rows = [
+            (f"{name}{k}".encode(), 2 * k + less, name == "b" and second, 1, np.arange(n, dtype=np.uint64).tobytes(), 0, second)
+            for k in range(1, 400) for less in (0, 1) for name, n in (("a", 4 * k - less), ("b", 5 * k))
+        ]
+        columns = ["print", "root", "block", "copies", "shingles", "i", "j"]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*((r[0], r[1], int(r[2]), *r[3:]) for r in rows))], columns)
+        got = {p for out in jaccard._verify(0.8)(iter([batch])) for p in out.column("print").to_pylist()}
+        linked = [r for out in jaccard._verify(0.8)(iter([batch])) for r in out.column("text_links").to_pylist()]
+        assert got == {f"{name}{k}".encode() for k in range(1, 400) for name in "ab"} and linked == [1] * 798
+
+
+def test_links_at_exactly_the_threshold(spark):
+    # 12 of 15, 48 of 60 and 400 of 500 shingles; the last pair has one less in common.
+    rows = []
+    for key, (short, long) in enumerate([(16, 19), (52, 64), (404, 504), (403, 504)]):
+        text = [f"t{key}w{i}" for i in range(long)]
+        rows += [(2 * key, " ".join(text[:short])), (2 * key + 1, " ".join(text))]
+    got = sorted(map(tuple, jaccard.similar(frame(spark, rows)).drop("text_hash", "stays").collect()), key=str)
+    assert got == by_hand(rows) and [r[2] for r in got] == [1] * 6 + [0] * 2
+    assert sorted(r.doc_id for r in jaccard.one_of_each(frame(spark, rows)).collect()) == [0, 2, 4, 6, 7]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1000), (5, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
