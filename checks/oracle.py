@@ -445,6 +445,22 @@ def _place(*order: str) -> str:
     return f"CAST(row_number() OVER (ORDER BY {keys}) AS INTEGER) AS place"
 
 
+_NUMBER = "CAST(substr(fileno, 5) AS BIGINT)"
+_MALFORMED = f"({_NUMBER} % 41 = 0 OR {_NUMBER} % 43 = 1 OR {_NUMBER} % 47 = 2)"
+_MALFORMED_LINE = f"""CASE WHEN {_NUMBER} % 41 = 0 THEN concat_ws(',', {_RAW}, 'tenth')
+  WHEN {_NUMBER} % 43 = 1 THEN concat_ws(',', fileno, applicant, age_raw, branch)
+  ELSE concat_ws(',', fileno, concat('"', applicant), {_RAW.split(", ", 2)[2]}) END"""
+
+
+def _well_formed(step: str) -> str:
+    """The chain up to ``step`` over the feed's records as read from files with
+    malformed lines."""
+    return _with(step).replace(
+        "FROM feed",
+        f"FROM (SELECT * REPLACE (nullif(age_raw, '') AS age_raw) FROM feed WHERE NOT {_MALFORMED})",
+    )
+
+
 ORACLE: dict[str, str] = {
     "src_csv": _with("feed") + f"SELECT {_CSV_RAW} FROM feed",
     "src_view": _with("feed") + "SELECT fileno, branch, course_date_raw FROM feed",
@@ -598,4 +614,19 @@ UNION ALL SELECT 'governance.dq_run_log', count(*) FROM report""",
     "stream_bronze": _with("feed") + f"SELECT {_CSV_RAW} FROM feed",
     "stream_silver": _with("silver") + f"SELECT {_CSV_SILVER} FROM silver",
     "stream_dq": _batch_lines(),
+    "rejects_malformed": _well_formed("rejects")
+    + f"""SELECT *, CAST(NULL AS VARCHAR) AS record FROM rejects UNION ALL BY NAME
+SELECT 'malformed_record' AS reject_reason, {_MALFORMED_LINE} AS record FROM feed WHERE {_MALFORMED}""",
+    "dq_malformed": _well_formed("report")
+    + f"""SELECT * EXCLUDE (dataset) REPLACE (rows_in + (SELECT count(*) FROM feed WHERE {_MALFORMED}) AS rows_in) FROM report
+UNION ALL BY NAME SELECT *, round(rows_passed / rows_evaluated, 4) AS pass_rate FROM (
+  SELECT '{fixed.MALFORMED_RULE[0]}' AS rule_name, '{fixed.MALFORMED_RULE[1]}' AS severity, '{fixed.MALFORMED_RULE[2]}' AS rule_note,
+    (SELECT any_value(run_id) FROM report) AS run_id, (SELECT any_value(run_ts) FROM report) AS run_ts,
+    count(*) AS rows_in, count(*) AS rows_evaluated,
+    count(*) FILTER (WHERE NOT {_MALFORMED}) AS rows_passed, count(*) FILTER (WHERE {_MALFORMED}) AS rows_failed FROM feed)""",
+    "stream_malformed": _with("feed")
+    + f"""SELECT * EXCLUDE (bad) FROM (
+  SELECT concat('batch-', least(version, 1)) AS run_id, 'malformed_record' AS reject_reason, {_MALFORMED_LINE} AS record,
+    {_MALFORMED} AS bad, count(*) OVER (PARTITION BY least(version, 1)) AS rows_in,
+    count(*) FILTER (WHERE {_MALFORMED}) OVER (PARTITION BY least(version, 1)) AS rows_failed FROM feed) WHERE bad""",
 }

@@ -100,6 +100,44 @@ def src_csv(spark, sf):
     return headers.clean_headers(csv.read_bronze(spark, csv_copy(spark, sf)))
 
 
+def _torn(feed: DataFrame) -> DataFrame:
+    """The lines of the feed as text, some of them too long, too short or with an open
+    quote. The one column has the header as its name."""
+    columns = [F.col(f"`{c}`") for c in fixed.ATTENDANCE_HEADERS]
+    number = F.substring(columns[0], 5, 20).cast("bigint")
+    line = (
+        F.when(number % 41 == 0, F.concat_ws(",", *columns, F.lit("tenth")))
+        .when(number % 43 == 1, F.concat_ws(",", *columns[:4]))
+        .when(number % 47 == 2, F.concat_ws(",", columns[0], F.concat(F.lit('"'), columns[1]), *columns[2:]))
+        .otherwise(F.concat_ws(",", *columns))
+    )
+    return feed.select(line.alias(",".join(fixed.ATTENDANCE_HEADERS)))
+
+
+def _write_lines(lines: DataFrame, path: str) -> None:
+    """Text files that begin with the column's name, no value quoted."""
+    writer = lines.write.mode("append").option("header", True).option("quote", "").option("sep", "\x01")
+    writer.csv(path)
+
+
+def _torn_layers(spark, sf):
+    path = work_path(spark, "torn")
+    _write_lines(_torn(attendance_feed(spark, sf)), path)
+    return medallion.build_layers(spark, csv.read_lines(spark, path), work_path(spark, "layers"), RUN_ID, RUN_TS)
+
+
+@query
+def rejects_malformed(spark, sf):
+    """Rejects of a feed with long, short and torn lines."""
+    return spark.read.parquet(_torn_layers(spark, sf).rejects)
+
+
+@query
+def dq_malformed(spark, sf):
+    log = tables.read_log(spark, _torn_layers(spark, sf).dq_log)
+    return ts_text(log.drop(tables.LOG_DATE, "dataset"))
+
+
 @query
 def src_view(spark, sf):
     name = tables.as_view(headers.clean_headers(attendance_feed(spark, sf)), "bronze_feed")
@@ -676,3 +714,18 @@ def stream_dq(spark, sf):
     return tables.read_log(spark, log).select(
         "run_id", "rule_name", "rows_in", "rows_evaluated", "rows_passed", "rows_failed", "pass_rate"
     )
+
+
+@query
+def stream_malformed(spark, sf):
+    """What two drops of torn lines leave in the rejects, and the count in each report."""
+    folder, versions, log, rejects = (work_path(spark, n) for n in ("drops", "versions", "dq-stream", "rejects"))
+    checkpoint = work_path(spark, "offsets")
+    feed = attendance_feed(spark, sf, with_version=True)
+    for part in (F.col("version") == 0, F.col("version") > 0):
+        _write_lines(_torn(feed.where(part)), folder)
+        lines = csv.stream_lines(spark, folder)
+        ingest.ingest_silver(lines, versions, log, checkpoint, "batch", RUN_TS, rejects=rejects).awaitTermination()
+    told = tables.read_log(spark, log).where(F.col("rule_name") == fixed.MALFORMED_RULE[0])
+    kept = spark.read.parquet(rejects).withColumn("run_id", F.concat(F.lit("batch-"), F.col("batch_id").cast("string")))
+    return kept.drop("batch_id").join(F.broadcast(told.select("run_id", "rows_in", "rows_failed")), "run_id")

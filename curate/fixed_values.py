@@ -59,6 +59,8 @@ ROW_RULES = (
      "Day-count reconciliation; flagged via dq_days_mismatch"),
 )
 EXACT_RULE = ("exact_duplicate_rows", "warn", "SELECT DISTINCT collapse of byte-identical rows")
+MALFORMED_RULE = ("well_formed_record", "blocking",
+                  "Lines of too many or too few fields or a torn quote; quarantined whole")
 KEY_RULE = ("duplicate_fileno_conflict", "warn",
             "Conflicting records per Fileno; latest course_date wins")
 ALERT_FLOOR = 0.90

@@ -13,6 +13,7 @@ from curate.fixed_values import (
     ALERT_WINDOW_DAYS,
     EXACT_RULE,
     KEY_RULE,
+    MALFORMED_RULE,
     RATE_SCALE,
     ROW_RULES,
 )
@@ -122,27 +123,37 @@ def dq_report(
     run_ts: datetime,
     dataset: str,
     rules: Sequence[Rule] = ATTENDANCE_RULES,
+    malformed: DataFrame | None = None,
 ) -> DataFrame:
     """The run's report, one line per rule, from the deduplicated rows alone.
 
     ``staged`` is the output of ``fold_versions``: its copy and version counts
     carry the raw row counts, so rules and deduplication are reported from one
     aggregate and nothing passes through the driver.
+
+    ``malformed`` has a row per line that was no record. They then have a line of
+    their own and are part of ``rows_in``; what passes it goes into the others.
     """
     counts = staged.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("rows_in"),
+        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("records_in"),
         F.coalesce(F.sum(VARIANTS), F.lit(0)).cast("bigint").alias("after_exact"),
         F.count(F.lit(1)).alias("after_key"),
         *_counters(rules),
     )
     (exact, exact_severity, exact_note), (key, key_severity, key_note) = EXACT_RULE, KEY_RULE
     lines = [
-        _line(exact, exact_severity, exact_note, F.col("rows_in"), F.col("after_exact")),
+        _line(exact, exact_severity, exact_note, F.col("records_in"), F.col("after_exact")),
         _line(key, key_severity, key_note, F.col("after_exact"), F.col("after_key")),
         *_rule_lines(rules),
     ]
+    rows_in = F.col("records_in")
+    if malformed is not None:
+        # One row each.
+        counts = counts.crossJoin(malformed.agg(F.count(F.lit(1)).alias("malformed")))
+        rows_in = rows_in + F.col("malformed")
+        lines.insert(0, _line(*MALFORMED_RULE, rows_in, F.col("records_in")))
     return (
-        counts.select("rows_in", F.inline(F.array(*lines)))
+        counts.select(rows_in.alias("rows_in"), F.inline(F.array(*lines)))
         .select(
             F.lit(run_id).alias("run_id"),
             _timestamp(run_ts).alias("run_ts"),

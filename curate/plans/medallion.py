@@ -17,6 +17,7 @@ from curate.operators.headers import clean_headers
 from curate.operators.quality import dq_report
 from curate.operators.quarantine import quarantine
 from curate.operators.validate import flag_reconcile, validate_range
+from curate.sources.csv import MALFORMED_REASON, parted
 from curate.sources.tables import append_log, layer_path, write_replace
 
 DAY_COLUMNS = ("number_of_days", "days_attended", "days_absent")
@@ -64,6 +65,13 @@ def split(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.select(*fixed.SILVER_COLUMNS), bad.select(*fixed.REJECT_COLUMNS, "reject_reason")
 
 
+def all_rejects(rejects: DataFrame, malformed: DataFrame | None) -> DataFrame:
+    """``rejects`` and the malformed lines, these with nothing but their text as
+    ``record``. Every line is kept, repeated ones too, so that counts add up."""
+    rows = rejects.withColumn("record", F.lit(None).cast("string"))
+    return rows if malformed is None else rows.unionByName(malformed, allowMissingColumns=True)
+
+
 def gold_records(silver: DataFrame) -> DataFrame:
     """Silver without its quality flags, with rate and band."""
     return silver.drop("is_age_valid", "dq_days_mismatch").withColumns(
@@ -112,21 +120,28 @@ class Layers:
 def build_layers(
     spark: SparkSession, raw: DataFrame, root: str, run_id: str, run_ts: datetime
 ) -> Layers:
-    """Read ``raw`` once, write every table of a run below ``root``.
+    """Read ``raw``, write every table of a run below ``root``.
+
+    Given the lines of ``read_lines``, what is no record goes to the rejects with
+    its text and is counted in the report; that is a second read of the files. Rows
+    of ``read_bronze`` are records only, read once.
 
     The deduplicated records are written first: silver, rejects, gold and the
     quality report all read that table, so they agree with each other, and a
     lost executor costs a re-read instead of a second pass over the raw files.
     """
     out = Layers(root)
-    write_replace(counted_records(raw), out.staged)
+    records, malformed = parted(raw)
+    write_replace(counted_records(records), out.staged)
     staged = spark.read.parquet(out.staged)
     silver, rejects = split(staged)
-    write_replace(rejects, out.rejects)
+    write_replace(all_rejects(rejects, malformed), out.rejects)
     write_replace(silver, out.silver)
     silver = spark.read.parquet(out.silver)
     write_replace(gold_records(silver), out.records)
     write_replace(weighted_rate(silver, "branch"), out.by_branch)
     write_replace(weighted_rate(silver, "course_name"), out.by_course)
-    append_log(dq_report(staged, run_id, run_ts, out.silver), out.dq_log)
+    if malformed is not None:
+        malformed = spark.read.parquet(out.rejects).where(F.col("reject_reason") == MALFORMED_REASON)
+    append_log(dq_report(staged, run_id, run_ts, out.silver, malformed=malformed), out.dq_log)
     return out

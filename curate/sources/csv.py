@@ -57,6 +57,12 @@ def malformed(lines: DataFrame) -> DataFrame:
     )
 
 
+def parted(lines: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``records`` and ``malformed`` of ``lines``; rows without the column of
+    malformed text are all records, and there is no second part."""
+    return (records(lines), malformed(lines)) if MALFORMED in lines.columns else (lines, None)
+
+
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA, multi_line: bool = False) -> DataFrame:
     """The records of ``read_lines``; ``malformed`` gives the rest."""
     return records(read_lines(spark, path, schema, multi_line))

@@ -15,6 +15,7 @@ from curate.operators.dedup import COPIES, VARIANTS, dedup_latest
 from curate.operators.headers import clean_headers
 from curate.operators.quality import dq_report
 from curate.plans.medallion import counted_records, flagged
+from curate.sources.csv import MALFORMED, parted
 
 DERIVED = ("age_clean", "is_age_valid", "dq_days_mismatch")
 
@@ -25,10 +26,37 @@ def _start(writer: DataStreamWriter, continuous: str | None) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
+def _needs_rejects(raw: DataFrame, rejects: str | None) -> None:
+    if MALFORMED in raw.columns and not rejects:
+        raise ValueError("a stream of lines needs a folder for the malformed ones")
+
+
+def _keep_malformed(malformed: DataFrame | None, rejects: str | None, batch_id: int) -> DataFrame | None:
+    """Write a batch's malformed lines under its number; gives the written table."""
+    if malformed is None:
+        return None
+    path = f"{rejects}/batch_id={batch_id}"
+    malformed.write.mode("overwrite").parquet(path)
+    return malformed.sparkSession.read.schema(malformed.schema).parquet(path)
+
+
 def ingest_bronze(
-    raw: DataFrame, out: str, checkpoint: str, continuous: str | None = None
+    raw: DataFrame, out: str, checkpoint: str, continuous: str | None = None, rejects: str | None = None
 ) -> StreamingQuery:
-    """Append new records, under clean names and still all text, to a table."""
+    """Append new records, under clean names and still all text, to a table.
+
+    Given the lines of ``stream_lines``, what is no record goes to ``rejects`` with
+    its text; both tables are then kept by batch, ``out`` in a folder of its own.
+    """
+    _needs_rejects(raw, rejects)
+    if MALFORMED in raw.columns:
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            records, malformed = parted(batch)
+            _keep_malformed(malformed, rejects, batch_id)
+            clean_headers(records).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+        return _start(raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint), continuous)
     writer = (
         clean_headers(raw)
         .writeStream.format("parquet")
@@ -47,19 +75,27 @@ def ingest_silver(
     run_prefix: str,
     run_ts: datetime,
     continuous: str | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Clean each batch into its best record per key and report on it.
 
+    Given the lines of ``stream_lines``, what is no record goes to ``rejects`` with
+    its text, under the batch's number, and is counted in its report.
+
     A batch appends its own records and rewrites nothing: ``current_records``
     picks among the batches when read, and ``fold_batches`` merges them from
     time to time. The cost of a batch depends on the batch, not on the table.
     """
 
+    _needs_rejects(raw, rejects)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         path = f"{versions}/batch_id={batch_id}"
-        counted_records(batch).write.mode("overwrite").parquet(path)
+        records, malformed = parted(batch)
+        malformed = _keep_malformed(malformed, rejects, batch_id)
+        counted_records(records).write.mode("overwrite").parquet(path)
         staged = batch.sparkSession.read.parquet(path)
-        report = dq_report(staged, f"{run_prefix}-{batch_id}", run_ts, versions)
+        report = dq_report(staged, f"{run_prefix}-{batch_id}", run_ts, versions, malformed=malformed)
         report.write.mode("overwrite").parquet(f"{dq_log}/batch_id={batch_id}")
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -10,6 +11,7 @@ from curate.session import work_path
 from curate.fixed_values import ATTENDANCE_HEADERS
 from curate.sources import csv, tables
 from curate.sources.csv import read_bronze
+from curate.streaming import ingest
 
 
 @pytest.fixture
@@ -169,6 +171,49 @@ def test_malformed_records_are_kept(spark, tmp_path, streamed):
         assert csv.read_bronze(spark, str(tmp_path), multi_line=True).count() == 3
 
 
+def torn_folder(spark, name):
+    """Two records, one of them twice, and four lines that are none, one of them twice."""
+    path = work_path(spark, name)
+    header = ",".join(f'"{h}"' for h in ATTENDANCE_HEADERS)
+    good = ["R-1,Ada,30,B,C,2024-01-01,3,1,2", "R-1,Ada,30,B,C,2024-01-01,3,1,2", "R-4,Ben,30,B,C,never,3,1,2"]
+    bad = [good[0] + ",tenth", "R-2,short,1,2", "R-2,short,1,2", 'R-3,"Ap', 'ril",30,B,C,2024-01-01,3,1,2']
+    os.makedirs(path)
+    with open(f"{path}/feed.csv", "w") as file:
+        file.write("\n".join([header, *good, *bad]) + "\n")
+    return path, bad
+
+
+def test_layers_keep_malformed_lines(spark):
+    path, bad = torn_folder(spark, "torn")
+    out = medallion.build_layers(spark, csv.read_lines(spark, path), work_path(spark, "layers"), "r", datetime(2024, 9, 1))
+    rejects = spark.read.parquet(out.rejects).collect()
+    assert sorted(r.record for r in rejects if r.reject_reason == "malformed_record") == sorted(bad)
+    assert [(r.fileno, r.record) for r in rejects if r.reject_reason != "malformed_record"] == [("R-4", None)]
+    assert spark.read.parquet(out.silver).count() == 1
+    report = {r.rule_name: (r.rows_in, r.rows_evaluated, r.rows_passed) for r in spark.read.parquet(out.dq_log).collect()}
+    assert len(report) == 7 and {r[0] for r in report.values()} == {8}
+    steps = [report[n][1:] for n in ("well_formed_record", "exact_duplicate_rows", "duplicate_fileno_conflict", "course_date_parseable")]
+    assert steps == [(8, 3), (3, 2), (2, 2), (2, 1)]
+
+
+def test_streams_keep_malformed_lines(spark):
+    path, bad = torn_folder(spark, "torn")
+    bronze, silver, log, *rejects = (work_path(spark, n) for n in ("bronze", "silver", "log", "r", "r"))
+    lines = csv.stream_lines(spark, path)
+    with pytest.raises(ValueError):
+        ingest.ingest_bronze(lines, bronze, work_path(spark, "c"))
+    # The second round has another checkpoint and repeats the batch.
+    for _ in range(2):
+        ingest.ingest_bronze(lines, bronze, work_path(spark, "c"), rejects=rejects[0]).awaitTermination()
+        args = (silver, log, work_path(spark, "c"), "b", datetime(2024, 9, 1))
+        ingest.ingest_silver(lines, *args, rejects=rejects[1]).awaitTermination()
+    for kept in rejects:
+        assert sorted(r.record for r in spark.read.parquet(kept).collect()) == sorted(bad)
+    assert spark.read.parquet(bronze).count() == 3
+    report = {r.rule_name: (r.rows_in, r.rows_failed) for r in tables.read_log(spark, log).collect()}
+    assert report["well_formed_record"] == (8, 5) and len(report) == 7
+
+
 def test_masking_needs_tags(spark):
     with pytest.raises(ValueError):
         governance.mask_columns(spark.range(1), reader=False)
