@@ -43,6 +43,41 @@ def test_masks_fit_between_any_two_differing_words():
         )
 
 
+@pytest.mark.parametrize("n", range(1, decontaminate.WINDOW + 1))
+def test_masks_of_every_length_spare_what_may_differ(n):
+    assert n - decontaminate.may_differ(n) == math.ceil(n * decontaminate.SHARE)
+    if n < decontaminate.WINDOW:
+        laid = [set(mask) for mask in decontaminate.short_masks(n)]
+        assert all(mask and max(mask) < n for mask in laid)
+    else:
+        laid = [{s + o for o in mask} for mask in decontaminate.MASKS for s in range(n - decontaminate.SPAN + 1)]
+    for differ in itertools.combinations(range(n), decontaminate.may_differ(n)):
+        assert any(not mask & set(differ) for mask in laid)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.MAX_SHARED_WORDS, 0])
+def test_short_items_with_every_allowed_change(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "MAX_SHARED_WORDS", limit)
+    items, docs = [(99, "")], []
+    for n in range(1, decontaminate.WINDOW + 2):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        most = decontaminate.may_differ(min(n, decontaminate.WINDOW))
+        for differ in itertools.chain.from_iterable(itertools.combinations(range(n), d) for d in range(most + 2)):
+            changed = ["other" if k in differ else w for k, w in enumerate(item)]
+            docs.append((len(docs), " ".join(["before"] * (n % 3) + changed + ["after"] * (n % 2))))
+        # Items that stand over an end, and twice in one document.
+        docs += [(len(docs) + k, " ".join(t)) for k, t in enumerate([item[1:], item[2:], item[:-1], item[:-2], item[1:-1], item + item])]
+    monkeypatch.setattr(decontaminate, "SPAN", 1)  # for by_hand, which leaves out what is shorter
+    want = by_hand(docs, items)
+    monkeypatch.undo()
+    monkeypatch.setattr(decontaminate, "MAX_SHARED_WORDS", limit)
+    got = decontaminate.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    )
+    assert {tuple(r)[:6] for r in got.collect()} == want and {k[1] for k in want} == set(range(1, decontaminate.WINDOW + 2))
+
+
 def sample():
     rng = random.Random(5)
     pool = [f"w{i}" for i in range(400)] + ["Ünï", "the", "of"]
