@@ -47,8 +47,7 @@ def op2_edit_counts(spark, sf_dir):
         )
         for i in range(3)
     ))
-    counted = edit_counts.edited_counts(docs.withColumn("edits", edits), COUNT_VOCABULARY, public_tokenizers.PATTERN)
-    return counted.drop("counts")
+    return edit_counts.edited_counts(docs.withColumn("edits", edits), COUNT_VOCABULARY, public_tokenizers.PATTERN)
 
 
 @query

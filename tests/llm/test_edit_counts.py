@@ -1,12 +1,15 @@
 """Counts after edits against encoding the edited text anew."""
 
+import os
 import random
 
 import public_tokenizers
 import pytest
 
 from curate.llm import edit_counts as ec
+from curate.llm.queries import QUERIES
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
@@ -67,3 +70,17 @@ def test_frames(spark):
     assert rows[2, 6].n_tokens == len(fresh("filled")) and rows[3, 4].n_tokens == rows[3, 4].n_tokens_before
     assert rows[None, 5].counts == []
     assert ec.edited_counts(ec.attach_edits(docs.limit(0), edits), PATH, PATTERN).collect() == []
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_query_gives_the_count_after_each_edit(spark, counter, monkeypatch):
+    given = []
+    real = ec.edited_counts
+    monkeypatch.setattr(ec, "edited_counts", lambda docs, *args: given.append(docs) or real(docs, *args))
+    got = {r.doc_id: r for r in QUERIES["op2_edit_counts"](spark, SF_DIR).collect()}
+    for doc_id, text, edits in given[0].select("doc_id", "text", "edits").collect():
+        want = []
+        for e in edits:
+            text = apply(text, e.pos, e.removed, e.added)
+            want.append(len(counter.encoding.encode_ordinary(text)))
+        assert got[doc_id].counts == want and len(want) == 3 and got[doc_id].n_tokens == want[-1]
