@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curate.llm import arrow_stream, bpe, chat, decontaminate, edit_counts, jaccard, licenses, lm, quality, search
+from curate.llm import (
+    arrow_stream, bpe, chat, decontaminate, edit_counts, jaccard, licenses, lm, quality, resample, search,
+)
 from curate.session import work_path
 
 QUERIES = {}
@@ -104,3 +106,9 @@ def op10_lm(spark, sf_dir):
 @query
 def op9_jaccard(spark, sf_dir):
     return jaccard.similar(table(spark, sf_dir, "documents")).drop("text_hash", "stays")
+
+
+@query
+def op11_resample(spark, sf_dir):
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
