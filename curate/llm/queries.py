@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curate.llm import (
-    arrow_stream, bpe, chat, decontaminate, edit_counts, jaccard, licenses, lm, quality, resample, search,
+    align, arrow_stream, bands, bpe, chat, decontaminate, edit_counts, jaccard, licenses, lm, quality, resample, search,
 )
 from curate.session import work_path
 
 QUERIES = {}
 COUNT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(fn):
@@ -112,3 +113,13 @@ def op9_jaccard(spark, sf_dir):
 def op11_resample(spark, sf_dir):
     drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_bands(spark, sf_dir):
+    return bands.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_align(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
