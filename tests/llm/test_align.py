@@ -119,3 +119,13 @@ def test_a_long_text():
     found = aligner([text])
     assert found.figures["n_links"][0] == len(found.a) >= found.figures["n_a"][0] > 100_000
     assert pa.array(found.groups_sha256)[0].as_py()
+
+
+def test_ranks_give_the_ids_of_the_library():
+    a = align.ByteLevel(A_PATH)
+    assert a.ranks is not None
+    texts = [t or "" for t in TEXTS] + [f"a{chr(c)}{chr(c)}b1{chr(c)}2 {chr(c)}x .{chr(c)}; " for c in range(0x20, 0xD800, 7)]
+    texts += [" " * 50_000, "x" * 50_000, "\n" * 50_000 + "x", "!?" * 20_000]
+    fast = a.encode(texts)
+    a.ranks = None
+    assert fast == a.encode(texts)
