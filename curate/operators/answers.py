@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curate import fixed_values as fixed
@@ -11,7 +9,7 @@ from curate.functions.rates import percent_text
 from curate.functions.text import fill, intent
 from curate.operators.documents import citation
 from curate.operators.embed import Encoder, embed
-from curate.operators.knn import few_hits, knn_join, shareable
+from curate.operators.knn import BLOCK_ROWS, knn_and_extremes
 
 
 def _fields(metadata: Column, rate_unknown: str) -> dict[str, Column]:
@@ -20,22 +18,19 @@ def _fields(metadata: Column, rate_unknown: str) -> dict[str, Column]:
     return values
 
 
-def retrieved(hits: DataFrame, corpus: DataFrame, few: bool = False) -> DataFrame:
+def retrieved(hits: DataFrame) -> DataFrame:
     """Per question: best score, first document, and the rated documents with
     the lowest and highest rate (ties go to the better rank).
 
     Hits marked ``extreme`` are the answer to a superlative over the whole
-    corpus and stand in for both. ``few`` says the hits are known to be few:
-    then they travel and the documents do not.
+    corpus and stand in for both. Hits bring their documents' metadata along.
     """
-    side = F.broadcast(hits) if few else hits
-    found = side.join(corpus.select("doc_id", "metadata"), "doc_id")
     among = ~F.col("extreme")
     rate = F.col("metadata.rate")
     worst = F.when(among & rate.isNotNull(), F.struct(rate, "rank"))
     best = F.when(among & rate.isNotNull(), F.struct(-rate, "rank"))
     whole = F.max(F.when(F.col("extreme"), F.col("metadata")))
-    return found.groupBy("question_id").agg(
+    return hits.groupBy("question_id").agg(
         F.max(F.when(among, F.col("score"))).alias("score"),
         F.min_by("metadata", F.when(among, F.col("rank"))).alias("first"),
         F.coalesce(whole, F.min_by("metadata", worst)).alias("low"),
@@ -87,47 +82,34 @@ def compose(
     )
 
 
-def _asked_about_all(asked: DataFrame, shared: pa.Table | None, word: str) -> DataFrame | pa.Table:
-    """Questions for the ``word`` record of the whole corpus."""
-    if shared is None:
-        return asked.where(F.col("whole") & (F.col("wanted") == word))
-    return shared.filter(pc.field("whole") & (pc.field("wanted") == word))
-
-
 def answer_all(
     questions: DataFrame,
     corpus: DataFrame,
     threshold: float = fixed.SIMILARITY_THRESHOLD,
     encoder: Encoder | None = None,
     whole_words: bool = False,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Answer every row of ``questions`` (question_id, question, k) from
     ``corpus`` (doc_id, vec, metadata), the stored vector table.
 
     A NULL ``k`` asks for the whole corpus. Its lookup is still the best hit,
-    but its superlative is an aggregate, not a retrieval of everything: only
-    the documents at the extreme rate are searched, for the one that fits the
-    question best.
+    but its superlative is the extreme of the rate, not a retrieval of everything:
+    of the documents there the one that fits the question best.
+
+    The corpus is scanned once, whatever is asked: each task hands on its best hits
+    and, for superlatives, the best hit at its own extreme with the rate there, both
+    with their metadata; ranking them per question gives those of the whole corpus.
     """
     asked = embed(questions, "question", encoder=encoder).select(
         "question_id",
         "vec",
         F.coalesce("k", F.lit(1)).cast("int").alias("k"),
-        F.col("k").isNull().alias("whole"),
-        intent("question", whole_words).alias("wanted"),
+        F.when(F.col("k").isNull(), intent("question", whole_words)).alias("extreme"),
     )
-    shared = shareable(asked)
-    source = asked if shared is None else shared
-    hits = knn_join(source, corpus).withColumn("extreme", F.lit(False))
-    rate = F.col("metadata.rate")
-    for word, end in (("lowest", F.min(rate)), ("highest", F.max(rate))):
-        # One row, whatever the corpus.
-        edge = F.broadcast(corpus.agg(end.alias("edge")))
-        at_edge = corpus.join(edge, rate == F.col("edge")).select("doc_id", "vec")
-        best = knn_join(_asked_about_all(asked, shared, word), at_edge)
-        hits = hits.unionByName(best.withColumn("extreme", F.lit(True)))
-    found = retrieved(hits, corpus, few_hits(shared))
-    return compose(questions, found, threshold, whole_words)
+    rated = corpus.select("doc_id", "vec", "metadata", F.col("metadata.rate").alias("rate"))
+    hits = knn_and_extremes(asked, rated, "rate", ("metadata",), block_rows)
+    return compose(questions, retrieved(hits), threshold, whole_words)
 
 
 def calibrate(scored: DataFrame, score: str = "top_score", answerable: str = "answerable") -> DataFrame:

@@ -1,43 +1,49 @@
 """Exact best-k search of a question table in a document table.
 
-No pair is ever written down: a task holds a block of question vectors, scores
-its documents against it as one matrix product, and hands on at most k hits per
-question. The hits of all tasks are then ranked per question.
+Documents stay where they are. The questions are written once to the shared
+folder as files of bounded size, and every task streams these files past its
+documents, a chunk of bounded size at a time. A chunk and a file are scored as
+one matrix product; at most k hits per question leave a chunk. No pair is ever
+written down, no document is copied, and the plan is the same for ten questions
+and for ten million.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
-from math import ceil, fsum
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
-from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from curate.fixed_values import DEFAULT_K
+from curate.session import work_path
 
 # Tasks get this module's helpers with the function itself, so executors need
 # not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Scores of a matrix product err by less than this part of the vectors' lengths.
-# What may be among the best by it is scored again by exactly rounded sums, so
+# What may be among the best by it is scored again with compensated sums, so
 # that ranks follow the scores themselves and equal scores the ids.
 PRODUCT_ERROR = 1e-12
-# Question tables up to this many rows and bytes travel to every task.
-MAX_SHARED_QUESTIONS = 4096
-MAX_SHARED_BYTES = 64 << 20
-# Up to this many hits a join with the documents sends the hits to them.
-MAX_BROADCAST_HITS = 100_000
-# Scores held at once per task, and rows per side of a block.
+# Scores held at once per task, and candidates scored again at once.
 _CELLS = 2_000_000
+# Rows of a file of questions, and of a chunk of documents.
 BLOCK_ROWS = 16_384
+# A chunk is also closed when it has so many bytes.
+CHUNK_BYTES = 64 << 20
+
+LOWEST, HIGHEST = "lowest", "highest"
+# Names that carried columns will not have.
+VALUE, GROUP = "searched_value", "searched_group"
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -51,176 +57,306 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-@dataclass
-class _BestHits:
-    """The best ``ks[q]`` documents seen so far for each question."""
-
-    questions: np.ndarray
-    ks: np.ndarray
-
-    def __post_init__(self) -> None:
-        self.hits = pd.DataFrame({"q": [], "id": [], "score": []})
-        self.floor = np.full(len(self.ks), -np.inf)
-
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        rows = max(1, _CELLS // max(1, len(self.questions)))
-        for start in range(0, len(ids), rows):
-            self._add_slice(ids[start : start + rows], vectors[start : start + rows])
-
-    def _add_slice(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        rough = vectors @ self.questions.T
-        longest = np.sqrt((vectors * vectors).sum(1).max(initial=0))
-        error = PRODUCT_ERROR * longest * np.sqrt((self.questions * self.questions).sum(1))
-        # Below the k-th best of what was seen, or of this slice, nothing counts.
-        floor = self.floor.copy()
-        for k in np.unique(self.ks):
-            if k < len(ids):
-                own = self.ks == k
-                kth = np.partition(rough[:, own], len(ids) - k, axis=0)[len(ids) - k]
-                floor[own] = np.maximum(floor[own], kth - error[own])
-        row, q = np.nonzero(rough >= floor - error)
-        score = [fsum(vectors[r] * self.questions[c]) for r, c in zip(row, q)]
-        fresh = pd.DataFrame({"q": q, "id": ids[row], "score": np.array(score, "float64")})
-        merged = fresh if self.hits.empty else pd.concat([self.hits, fresh], ignore_index=True)
-        merged = merged.sort_values(["q", "score", "id"], ascending=[True, False, True])
-        place = merged.groupby("q").cumcount().to_numpy()
-        merged = merged[place < self.ks[merged["q"].to_numpy()]]
-        self.hits = merged
-        count = merged.groupby("q")["score"].agg(["size", "min"])
-        full = count[count["size"].to_numpy() >= self.ks[count.index.to_numpy()]]
-        self.floor[full.index.to_numpy()] = full["min"].to_numpy()
-
-
-def _hits_schema(question_type: T.DataType, docs: DataFrame) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("question_id", question_type),
-            T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("k", T.IntegerType()),
-        ]
-    )
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of ``a`` and ``b``. What each addition rounds off
+    is added up too; the order is the same for every row, so equal rows tie."""
+    total, lost = np.zeros(len(a)), np.zeros(len(a))
+    for j in range(a.shape[1]):
+        term = a[:, j] * b[:, j]
+        added = total + term
+        back = added - total
+        lost += (total - (added - back)) + (term - back)
+        total = added
+    return total + lost
 
 
-def _hits_table(best: _BestHits, question_ids: list, schema: pa.Schema) -> pa.Table:
-    q = best.hits["q"].to_numpy().astype("int64")
-    return pa.table(
-        [
-            pa.array([question_ids[i] for i in q], type=schema.field("question_id").type),
-            pa.array(best.hits["id"].tolist(), type=schema.field("doc_id").type),
-            pa.array(best.hits["score"].to_numpy(dtype="float64")),
-            pa.array(best.ks[q].astype("int32")),
-        ],
-        schema=schema,
-    )
+def _copy_numbers(vectors: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """How many rows before each one have the same vector and group.
 
+    Such rows tie under every question, so beyond the first k none is a hit.
+    Rows are told apart by a hash, and those that differ from the first row of
+    their hash count as unlike any other.
+    """
+    bits = np.ascontiguousarray(vectors).view(np.uint64)
+    factors = np.random.default_rng(1).integers(1, 2**63, bits.shape[1], dtype=np.uint64) | np.uint64(1)
+    hashes = (bits * factors).sum(1, dtype=np.uint64) + group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+    order = np.argsort(of, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(of[order]) > 0)[: len(order)])
+    number = np.empty(len(of), np.int64)
+    number[order] = np.arange(len(of)) - np.repeat(starts, np.diff(np.append(starts, len(of))))
+    repeated = np.flatnonzero(number > 0)
+    lead = first[of[repeated]]
+    unlike = (vectors[repeated] != vectors[lead]).any(1) | (group[repeated] != group[lead])
+    number[repeated[unlike]] = 0
+    return number
 
-def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=object)
 
+@dataclass
+class _Questions:
+    """A file of questions. ``end`` is -1, 1 or 0: the search is among the documents
+    of the lowest value, of the highest, or among all."""
 
-def _shared_scan(docs: DataFrame, shared: pa.Table, schema: T.StructType) -> DataFrame:
-    """Documents stay where they are; the question block goes to each task."""
-    question_ids = shared.column("question_id").to_pylist()
-    ks = shared.column("k").to_numpy()
-    vectors = _matrix(shared.column("vec"))
+    table: pa.Table
+    vectors: np.ndarray = field(init=False)
+    ks: np.ndarray = field(init=False)
+    end: np.ndarray = field(init=False)
+    floor: np.ndarray = field(init=False)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _BestHits(vectors, ks)
-        for batch in batches:
+    def __post_init__(self) -> None:
+        self.vectors = _matrix(self.table.column("vec"))
+        self.ks = self.table.column("k").to_numpy()
+        self.end = self.table.column("end").to_numpy()
+        self.floor = self.table.column("floor").to_numpy().copy()
+        self.error = PRODUCT_ERROR * np.sqrt((self.vectors * self.vectors).sum(1))
+
+    def allowed(self, groups: pa.Array) -> np.ndarray | None:
+        """Which question may see which group; None where all see all."""
+        if "groups" not in self.table.column_names:
+            return None
+        sets = self.table.column("groups").combine_chunks()
+        out = np.repeat(sets.is_null().to_numpy(zero_copy_only=False)[None, :], len(groups), axis=0)
+        owner = pc.list_parent_indices(sets).to_numpy()
+        place = pc.index_in(sets.flatten(), value_set=groups)
+        known = place.is_valid().to_numpy(zero_copy_only=False)
+        out[place.drop_null().to_numpy(), owner[known]] = True
+        # Null stands for no group at all and is seen by the unrestricted only.
+        out[groups.is_null().to_numpy(zero_copy_only=False)] &= sets.is_null().to_numpy(zero_copy_only=False)
+        return out
+
+
+class _Chunk:
+    """Documents of one task, by id, with what a search in them needs."""
+
+    def __init__(self, table: pa.Table):
+        table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending")], null_placement="at_start"))
+        self.table = table.combine_chunks()
+        self.vectors = _matrix(table.column("vec"))
+        if GROUP in table.column_names:
+            coded = table.column(GROUP).combine_chunks().dictionary_encode(null_encoding="encode")
+            self.groups, self.group = coded.dictionary, coded.indices.to_numpy()
+        else:
+            self.groups, self.group = pa.nulls(1), np.zeros(len(table), np.int64)
+        self.copy = _copy_numbers(self.vectors, self.group)
+        self.value = table.column(VALUE).to_numpy() if VALUE in table.column_names else None
+
+    def best(self, asked: _Questions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``question, document, score, edge`` of the hits; ``edge`` orders the ends
+        of the value, lowest first, and is NaN for searches among all."""
+        parts = []
+        plain = np.flatnonzero(asked.end == 0)
+        parts.append((*self._among(asked, plain, None), np.nan))
+        if self.value is not None and not np.isnan(self.value).all():
+            for sign in (-1, 1):
+                edge = np.nanmin(-sign * self.value)
+                of_end = np.flatnonzero(asked.end == sign)
+                parts.append((*self._among(asked, of_end, np.flatnonzero(-sign * self.value == edge)), edge))
+        edges = np.concatenate([np.full(len(p[0]), p[3]) for p in parts])
+        q, doc, score = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        return q, doc, score, edges
+
+    def _among(self, asked: _Questions, which: np.ndarray, rows: np.ndarray | None):
+        """The best k of the documents ``rows`` for the questions ``which``."""
+        hits = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        if not len(which):
+            return hits
+        # Within a subset copies count anew.
+        copy = self.copy if rows is None else _copy_numbers(self.vectors[rows], self.group[rows])
+        rows = np.arange(len(self.copy)) if rows is None else rows
+        ks, questions = asked.ks[which], asked.vectors[which]
+        everywhere = asked.end[which[0]] == 0
+        rows = rows[copy < ks.max()]
+        floor = asked.floor[which].copy() if everywhere else np.full(len(which), -np.inf)
+        allowed = asked.allowed(self.groups)
+        step = max(1, _CELLS // len(which))
+        for at in range(0, len(rows), step):
+            hits, floor = self._slice(rows[at : at + step], which, questions, ks, asked.error[which], floor, allowed, hits)
+        if everywhere:
+            asked.floor[which] = floor
+        return which[hits[0]], hits[1], hits[2]
+
+    def _slice(self, rows, which, questions, ks, error, floor, allowed, hits):
+        vectors = self.vectors[rows]
+        rough = vectors @ questions.T
+        seen = None if allowed is None else allowed[self.group[rows]][:, which]
+        if seen is not None:
+            rough[~seen] = -np.inf
+        error = error * np.sqrt((vectors * vectors).sum(1).max(initial=0))
+        # Below the k-th best of what was seen, or of this slice, nothing counts.
+        least = floor.copy()
+        for k in np.unique(ks):
+            if k <= len(rows):
+                own = ks == k
+                kth = np.partition(rough[:, own], len(rows) - k, axis=0)[len(rows) - k]
+                least[own] = np.maximum(least[own], kth - error[own])
+        near = rough >= least - error
+        row, q = np.nonzero(near if seen is None else near & seen)
+        score = np.empty(len(row))
+        again = max(1, _CELLS // max(1, vectors.shape[1]))
+        for at in range(0, len(row), again):
+            part = slice(at, at + again)
+            score[part] = _dots(vectors[row[part]], questions[q[part]])
+        q, doc, score = (np.concatenate(p) for p in zip(hits, (q, rows[row], score)))
+        order = np.lexsort((doc, -score, q))
+        q, doc, score = q[order], doc[order], score[order]
+        starts = np.searchsorted(q, np.arange(len(ks)))
+        place = np.arange(len(q)) - starts[q]
+        full = np.flatnonzero(np.bincount(q, minlength=len(ks)) >= ks)
+        floor = floor.copy()
+        floor[full] = np.maximum(floor[full], score[starts[full] + ks[full] - 1])
+        kept = place < ks[q]
+        return (q[kept], doc[kept], score[kept]), floor
+
+
+def _files(folder: str) -> tuple[pyarrow.fs.FileSystem, list[str]]:
+    system, path = pyarrow.fs.FileSystem.from_uri(folder)
+    found = system.get_file_info(pyarrow.fs.FileSelector(path, allow_not_found=True))
+    return system, sorted(f.path for f in found if f.path.endswith(".parquet"))
+
+
+def _read(system: pyarrow.fs.FileSystem, path: str) -> Iterator[_Questions]:
+    with system.open_input_file(path) as source:
+        for batch in pyarrow.parquet.ParquetFile(source).iter_batches(BLOCK_ROWS):
             if batch.num_rows:
-                best.add(_ids(batch.column("doc_id")), _matrix(batch.column("vec")))
-        yield from _hits_table(best, question_ids, to_arrow_schema(schema)).to_batches()
-
-    return docs.mapInArrow(scan, schema)
-
-
-def _block_scan(
-    questions: DataFrame, docs: DataFrame, schema: T.StructType, block_rows: int
+                yield _Questions(pa.Table.from_batches([batch]))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= CHUNK_BYTES:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _hits(chunk: _Chunk, asked: _Questions, schema: pa.Schema) -> pa.Table:
+    q, doc, score, edge = chunk.best(asked)
+    columns = {
+        "question_id": asked.table.column("question_id").take(pa.array(q)),
+        "score": pa.array(score),
+        "k": pa.array(asked.ks[q].astype("int32")),
+        "edge": pa.array(edge, mask=np.isnan(edge)),
+    }
+    held = chunk.table.take(pa.array(doc))
+    found = (columns[f.name] if f.name in columns else held.column(f.name) for f in schema)
+    return pa.table([c if c.type == f.type else c.cast(f.type) for c, f in zip(found, schema)], schema=schema)
+
+
+def write_questions(questions: DataFrame, k: int, block_rows: int) -> tuple[str, T.DataType, int]:
+    """Questions as files of at most ``block_rows`` rows; gives their folder, the
+    type of their ids and the largest k."""
+    spark = questions.sparkSession
+    given = set(questions.columns)
+    asked = questions.select(
+        "question_id",
+        "vec",
+        (F.col("k") if "k" in given else F.lit(k)).cast("int").alias("k"),
+        (F.col("end") if "end" in given else F.lit(0)).cast("int").alias("end"),
+        (F.col("floor") if "floor" in given else F.lit(float("-inf"))).alias("floor"),
+        *(["groups"] if "groups" in given else []),
+        *(["cell"] if "cell" in given else []),
+    ).where(F.col("vec").isNotNull() & (F.col("k") > 0))
+    folder = work_path(spark, "questions")
+    # Merged to files of fair size, split where one cell is asked by very many.
+    writer = asked.hint("rebalance", *([F.col("cell")] if "cell" in given else [])).write.option("maxRecordsPerFile", block_rows)
+    (writer.partitionBy("cell") if "cell" in given else writer).parquet(folder)
+    written = spark.read.schema(asked.schema).parquet(folder)
+    most = written.agg(F.max("k")).first()[0] if "k" in given else k
+    return folder, asked.schema["question_id"].dataType, most or 0
+
+
+def scan(
+    docs: DataFrame, folder: str, question_type: T.DataType, carry: list[str], block_rows: int, by_cell: bool = False
 ) -> DataFrame:
-    """Both tables are cut into blocks of bounded size; each pair of blocks is
-    one task's work. Exact for any number of questions."""
-    question_blocks = max(1, ceil(questions.count() / block_rows))
-    doc_blocks = max(1, ceil(docs.count() / block_rows))
-
-    def cut(df: DataFrame, own: str, own_id: str, blocks: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64(own_id), F.lit(blocks)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
-        return df.withColumn(own, block).withColumn(other, copies)
-
-    left = cut(questions, "qb", "question_id", question_blocks, "db", doc_blocks)
-    right = cut(docs, "db", "doc_id", doc_blocks, "qb", question_blocks)
-
-    def scan(q: pa.Table, d: pa.Table) -> pa.Table:
+    """Hits of every chunk of ``docs``: question_id, doc_id, score, k, edge and the
+    columns to ``carry``. With ``by_cell`` the questions of a document's cell are
+    asked only, and a chunk has one cell."""
+    fields = [T.StructField("question_id", question_type), docs.schema["doc_id"]]
+    fields += [T.StructField(n, t) for n, t in (("score", T.DoubleType()), ("k", T.IntegerType()), ("edge", T.DoubleType()))]
+    schema = T.StructType([*fields, *(docs.schema[c] for c in carry)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
-        if not q.num_rows or not d.num_rows:
-            return out.empty_table()
-        best = _BestHits(_matrix(q.column("vec")), q.column("k").to_numpy())
-        best.add(_ids(d.column("doc_id")), _matrix(d.column("vec")))
-        return _hits_table(best, q.column("question_id").to_pylist(), out)
-
-    return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(scan, schema)
-
-
-def shareable(questions: DataFrame, max_rows: int = MAX_SHARED_QUESTIONS) -> pa.Table | None:
-    """The question table if it is small enough to go to every task, else None.
-
-    Never more than ``max_rows + 1`` rows are fetched to find out.
-    """
-    if max_rows < 1:
-        return None
-    head = questions.limit(max_rows + 1).toArrow()
-    return head if head.num_rows <= max_rows and head.nbytes <= MAX_SHARED_BYTES else None
+        floors: dict[tuple[str, int], np.ndarray] = {}
+        for table in _chunks(batches, block_rows):
+            cells = pc.unique(table.column("cell")).to_pylist() if by_cell else [None]
+            for cell in cells:
+                own = table if cell is None else table.filter(pc.equal(table.column("cell"), cell))
+                system, files = _files(folder if cell is None else f"{folder}/cell={cell}")
+                chunk = _Chunk(own) if files else None
+                for path in files:
+                    for i, asked in enumerate(_read(system, path)):
+                        # What earlier chunks of the task found rules out more.
+                        asked.floor = np.maximum(asked.floor, floors.get((path, i), asked.floor))
+                        yield from _hits(chunk, asked, out).to_batches()
+                        floors[path, i] = asked.floor
+
+    return docs.mapInArrow(run, schema)
+
+
+def ranked(hits: DataFrame, most: int) -> DataFrame:
+    """The best k hits per question among all, and the best one at its end of the
+    value, with their ``rank``."""
+    best_first = Window.partitionBy("question_id", F.col("edge").isNotNull()).orderBy(
+        F.col("edge"), F.col("score").desc(), "doc_id"
+    )
+    numbered = hits.withColumn("rank", F.row_number().over(best_first))
+    # A constant lets each task keep its best rows before the shuffle.
+    return numbered.where(F.col("rank") <= most).where(F.col("rank") <= F.col("k"))
 
 
-def few_hits(shared: pa.Table | None) -> bool:
-    """Whether all hits of a shared question table may be broadcast in a join:
-    there are at most as many as its k add up to."""
-    return shared is not None and (pc.sum(shared.column("k")).as_py() or 0) <= MAX_BROADCAST_HITS
+def searched(docs: DataFrame, carry: list[str], value: str | None, group: str | None) -> DataFrame:
+    more = [F.col(value).cast("double").alias(VALUE)] if value else []
+    more += [F.col(group).cast("string").alias(GROUP)] if group else []
+    return docs.select("doc_id", "vec", *more, *carry).where(F.col("vec").isNotNull())
 
 
 def knn_join(
-    questions: DataFrame | pa.Table,
+    questions: DataFrame,
     docs: DataFrame,
     k: int = DEFAULT_K,
-    max_shared_questions: int = MAX_SHARED_QUESTIONS,
+    carry: tuple[str, ...] = (),
+    group: str | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(question_id, doc_id, score, rank) of the best documents per question.
+    """(question_id, doc_id, score, rank) of the best documents per question, and
+    the columns of ``docs`` to ``carry``.
+
+    ``questions`` has question_id and vec; ``docs`` has doc_id and vec; ids are
+    unique, all vectors of one length, rows without a vector are left out. Where
+    there are fewer than k documents all are returned. A question may have its own
+    ``k``, and ``groups``, the values of the documents' column ``group`` it may
+    retrieve (null: all): the mask is applied before the cut at k, so every reader
+    gets k hits where there are so many.
+    """
+    if "groups" in questions.columns and group is None:
+        raise ValueError("questions have groups, so name the documents' column")
+    folder, kind, most = write_questions(questions.drop("end", "floor", "cell"), k, block_rows)
+    found = scan(searched(docs, list(carry), None, group), folder, kind, list(carry), block_rows)
+    return ranked(found, most).select("question_id", "doc_id", "score", "rank", *carry)
+
+
+def knn_and_extremes(
+    questions: DataFrame, docs: DataFrame, value: str, carry: tuple[str, ...] = (), block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Like ``knn_join``, in one scan with searches at the ends of a value.
 
-    ``questions`` has question_id, vec and optionally its own ``k``, and may be
-    a table that ``shareable`` has fetched; ``docs`` has doc_id and vec; ids are unique, all
-    vectors of one length. Where there are fewer than k documents all are
-    returned. To restrict what readers may retrieve, filter ``docs`` first.
+    A question whose ``extreme`` is "lowest" or "highest" also gets the best hit
+    among the documents of the lowest or highest ``value`` of all (nulls aside),
+    marked by ``extreme`` in the result.
     """
-    asked = questions.schema.names if isinstance(questions, pa.Table) else questions.columns
-    searched = docs.select("doc_id", "vec").where(F.col("vec").isNotNull())
-    if isinstance(questions, pa.Table):
-        shared = questions
-    else:
-        own_k = F.col("k").cast("int") if "k" in questions.columns else F.lit(k)
-        questions = questions.select("question_id", "vec", own_k.alias("k")).where(
-            F.col("vec").isNotNull() & (F.col("k") > 0)
-        )
-        shared = shareable(questions, max_shared_questions)
-    if shared is None:
-        schema = _hits_schema(questions.schema["question_id"].dataType, docs)
-        hits = _block_scan(questions, searched, schema, block_rows)
-    else:
-        schema = _hits_schema(from_arrow_type(shared.schema.field("question_id").type), docs)
-        hits = (
-            _shared_scan(searched, shared, schema)
-            if shared.num_rows
-            else docs.sparkSession.createDataFrame([], schema)
-        )
-    best_first = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "doc_id")
-    ranked = hits.withColumn("rank", F.row_number().over(best_first))
-    if shared is not None:
-        # A constant lets each task keep its best rows before the shuffle.
-        ranked = ranked.where(F.col("rank") <= (pc.max(shared.column("k")).as_py() or 0))
-    elif "k" not in asked:
-        ranked = ranked.where(F.col("rank") <= k)
-    return (
-        ranked.where(F.col("rank") <= F.col("k"))
-        .select("question_id", "doc_id", "score", "rank")
+    end = F.when(F.col("extreme") == LOWEST, -1).when(F.col("extreme") == HIGHEST, 1)
+    plain = questions.drop("extreme", "end", "floor", "cell")
+    # A second row asks about the end of the value.
+    both = questions.select(*plain.columns, F.explode(F.when(end.isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), end))).alias("end"))
+    both = both.withColumn("k", F.when(F.col("end") == 0, F.col("k")).otherwise(1))
+    folder, kind, most = write_questions(both, DEFAULT_K, block_rows)
+    columns = [c for c in carry]
+    found = scan(searched(docs, columns, value, None), folder, kind, columns, block_rows)
+    return ranked(found, most).select(
+        "question_id", "doc_id", "score", "rank", F.col("edge").isNotNull().alias("extreme"), *carry
     )

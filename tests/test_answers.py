@@ -123,12 +123,10 @@ def test_question_table_against_brute_force(spark, gold, corpus):
         assert got[row.question].sources == [composed_by_hand(row.question, row.k, docs, scores)], row.question
 
 
-def test_blocked_search_gives_the_same_answers(spark, gold, corpus, monkeypatch):
+def test_blocked_search_gives_the_same_answers(spark, gold, corpus):
     questions = attendance_questions(gold)
     shared = {tuple(map(str, r)) for r in answer_all(questions, corpus).collect()}
-    monkeypatch.setattr("curate.operators.answers.shareable", lambda asked: None)
-    monkeypatch.setattr("curate.operators.knn.shareable", lambda asked, n: None)
-    assert {tuple(map(str, r)) for r in answer_all(questions, corpus).collect()} == shared
+    assert {tuple(map(str, r)) for r in answer_all(questions, corpus, block_rows=2).collect()} == shared
 
 
 def test_calibrate(spark):
@@ -140,10 +138,11 @@ def test_calibrate(spark):
     assert bands([(0.5, True)]) == (0.5, None, None, None)
 
 
-def test_hits_travel_to_the_documents(spark, gold, corpus):
+def test_the_corpus_is_scanned_once(spark, gold, corpus):
     plan = answer_all(attendance_questions(gold), corpus)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "BroadcastHashJoin [doc_id" in plan
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "vec" in line and "metadata" in line]
+    assert len(scans) == 1 and sum("metadata" in line for line in plan.splitlines() if "FileScan" in line) == 1
 
 
 def test_mean_of_rates_is_not_needed_for_extremes(spark, corpus):

@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from curate.functions.vectors import cosine
-from curate.operators.knn import few_hits, knn_join, shareable
+from curate.operators import knn
+from curate.operators.knn import knn_and_extremes, knn_join
+from curate.operators.vector_index import build_index, search_index
+from curate.session import work_path
 
 
 def vectors(n, dim=8, seed=1):
@@ -39,11 +42,11 @@ def got(hits):
 
 
 @pytest.mark.parametrize("k", [1, 3, 350])
-def test_shared_and_blocked_search_agree_with_brute_force(spark, k):
+def test_search_agrees_with_brute_force_at_any_size_of_blocks(spark, k):
     q, d, asked, docs = frames(spark)
     expected = brute_force(asked, docs, k)
     assert got(knn_join(q, d.repartition(7), k)) == expected
-    assert got(knn_join(q, d, k, max_shared_questions=0, block_rows=100)) == expected
+    assert got(knn_join(q, d, k, block_rows=100)) == expected
 
 
 def test_close_scores_rank_by_score_and_limit_each_task(spark):
@@ -51,7 +54,7 @@ def test_close_scores_rank_by_score_and_limit_each_task(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 3)], "question_id int, vec array<double>, k int")
     hits = knn_join(q, d)
     assert got(hits) == {1: ["b"], 2: ["b", "c", "a"]}
-    assert got(knn_join(q, d, max_shared_questions=0)) == {1: ["b"], 2: ["b", "c", "a"]}
+    assert got(knn_join(q, d, block_rows=1)) == {1: ["b"], 2: ["b", "c", "a"]}
     assert "WindowGroupLimit" in hits._jdf.queryExecution().executedPlan().toString()
 
 
@@ -78,7 +81,7 @@ def test_no_documents_or_no_questions(spark):
     q, d, *_ = frames(spark)
     assert knn_join(q, d.where("false")).count() == 0
     assert knn_join(q.where("false"), d).count() == 0
-    assert knn_join(q, d.where("false"), max_shared_questions=0).count() == 0
+    assert knn_join(q, d.where("false"), block_rows=1).count() == 0
 
 
 def test_rows_without_a_vector_are_left_out(spark):
@@ -94,15 +97,6 @@ def test_readers_retrieve_only_what_is_granted(spark):
     assert {r.doc_id for r in hits.collect()} == {"d0001", "d0002"}
 
 
-def test_question_tables_are_shared_within_bounds_only(spark):
-    q, *_ = frames(spark)
-    asked = q.withColumn("k", F.lit(3))
-    assert shareable(asked, 12).num_rows == 12
-    assert shareable(asked, 11) is None and shareable(asked, 0) is None
-    assert few_hits(shareable(asked, 12)) and not few_hits(None)
-    assert not few_hits(shareable(asked.withColumn("k", F.lit(100_000)), 12))
-
-
 def test_scores_and_cosine_agree(spark):
     q, d, *_ = frames(spark, n_docs=20)
     hits = knn_join(q, d, 20).join(q.withColumnRenamed("vec", "a"), "question_id").join(d, "doc_id")
@@ -112,9 +106,11 @@ def test_scores_and_cosine_agree(spark):
 
 def test_no_cross_join_in_the_plan(spark):
     q, d, *_ = frames(spark)
-    for hits in (knn_join(q, d), knn_join(q, d, max_shared_questions=0)):
+    for hits in (knn_join(q, d), knn_join(q, d, block_rows=1)):
         plan = hits._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        # Documents are neither copied nor shuffled: the only exchange is of hits.
+        assert "Generate" not in plan and plan.count("Exchange hashpartitioning(question_id") == plan.count("Exchange ")
 
 
 def test_vectors_of_another_length_are_an_error(spark):
@@ -122,3 +118,92 @@ def test_vectors_of_another_length_are_an_error(spark):
     odd = spark.createDataFrame([("odd", [1.0, 0.0])], d.schema)
     with pytest.raises(Exception, match="different lengths|mismatch|size"):
         knn_join(q, d.unionByName(odd).coalesce(1)).collect()
+
+
+def test_equal_vectors_are_scored_once(spark, monkeypatch):
+    docs = np.repeat(vectors(5), 400, axis=0)
+    d = spark.createDataFrame([(f"d{i:04}", v.tolist()) for i, v in enumerate(docs)], "doc_id string, vec array<float>").coalesce(1)
+    q, _, asked, _ = frames(spark)
+    assert got(knn_join(q, d, 3)) == brute_force(asked, docs, 3)
+    chunk = knn._Chunk(d.select("doc_id", "vec").toArrow())
+    assert (chunk.copy == 0).sum() == len(np.unique(docs, axis=0)) and chunk.copy.max() >= 399
+
+
+def test_readers_share_one_search(spark):
+    q, d, asked, docs = frames(spark)
+    d = d.withColumn("team", F.when(F.col("doc_id") < "d0700", F.substring("doc_id", 5, 1)))
+    groups = F.when(F.col("question_id") % 3 == 0, F.array(F.lit("1"), F.lit("no such"))).when(F.col("question_id") % 3 == 1, F.array(F.lit("2"), F.lit("3")))
+    hits = knn_join(q.withColumn("groups", groups), d, 4, carry=("team",), group="team", block_rows=100)
+    seen = {0: {"1"}, 1: {"2", "3"}}
+    for i, ids in got(hits).items():
+        allowed = [j for j in range(len(docs)) if i % 3 == 2 or (j < 700 and f"{j:04}"[3] in seen[i % 3])]
+        scores = {j: math.fsum(docs[j].astype("float64") * asked[i].astype("float64")) for j in allowed}
+        assert ids == [f"d{j:04}" for j in sorted(allowed, key=lambda j: (-scores[j], j))[:4]], i
+    assert {r.question_id for r in hits.collect()} == set(range(12))
+    with pytest.raises(ValueError, match="groups"):
+        knn_join(q.withColumn("groups", groups), d)
+
+
+def test_extremes_come_from_the_same_scan(spark):
+    q, d, asked, docs = frames(spark)
+    d = d.withColumn("value", F.when(F.col("doc_id") > "d0005", F.floor(F.substring("doc_id", 3, 1).cast("int") / 4)))
+    ends = F.when(F.col("question_id") % 3 == 0, "lowest").when(F.col("question_id") % 3 == 1, "highest")
+    hits = knn_and_extremes(q.withColumns({"extreme": ends, "k": F.lit(2)}), d.repartition(5), "value", ("value",), block_rows=50)
+    rows = hits.collect()
+    plain = brute_force(asked, docs, 2)
+    assert {i: [r.doc_id for r in sorted(rows, key=lambda r: r.rank) if r.question_id == i and not r.extreme] for i in range(12)} == plain
+    found = {r.question_id: (r.value, r.doc_id) for r in rows if r.extreme}
+    value = {j: int(f"{j:04}"[1]) // 4 for j in range(6, 900)}
+    assert set(found) == {i for i in range(12) if i % 3 < 2}
+    for i, (v, doc) in found.items():
+        end = (min, max)[i % 3](value.values())
+        best = max((j for j in value if value[j] == end), key=lambda j: (math.fsum(docs[j].astype("float64") * asked[i].astype("float64")), -j))
+        assert (v, doc) == (end, f"d{best:04}")
+
+
+def clustered(n, dim=16, centres=12, seed=3):
+    middle = np.random.default_rng(5).normal(size=(centres, dim))
+    rng = np.random.default_rng(seed)
+    m = middle[rng.integers(0, centres, n)] + 0.15 * rng.normal(size=(n, dim))
+    m[: n // 3] = m[0]  # a hot cell
+    return (m * rng.uniform(0.5, 2, size=(n, 1))).astype("float32")
+
+
+def test_index_gives_the_exact_hits_and_opens_few_cells(spark):
+    docs, asked = clustered(3000), clustered(40, seed=9)
+    docs[7] = 0
+    d = spark.createDataFrame([(f"d{i:04}", v.tolist(), str(i % 4)) for i, v in enumerate(docs)], "doc_id string, vec array<float>, team string")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "question_id int, vec array<float>")
+    index = build_index(d, work_path(spark, "index"), pivots=16, rings=3, keep=("team",))
+    assert index.cells["n"].sum() == 3000 and len(index.cells["n"]) <= 48
+    for k in (1, 5):
+        found = search_index(q, index, k)
+        assert got(found.hits) == brute_force(asked, docs, k)
+        shares = [r.scored / r.total for r in found.scored.collect()]
+        assert len(shares) == 40 and sum(shares) / 40 < 0.5
+    groups = q.withColumn("groups", F.array(F.lit("1")))
+    of_team = search_index(groups, index, 3, group="team").hits
+    assert got(of_team) == got(knn_join(groups, d, 3, group="team"))
+    few = got(search_index(q, index, 5, probes=6).hits)
+    exact = brute_force(asked, docs, 5)
+    assert sum(len(set(few.get(i, [])) & set(exact[i])) for i in exact) >= 0.9 * 5 * 40
+
+
+def test_index_of_odd_tables(spark):
+    q, d, asked, docs = frames(spark, n_docs=4)
+    index = build_index(d, work_path(spark, "index"), pivots=64)
+    assert got(search_index(q, index, 50).hits) == brute_force(asked, docs, 50)
+    assert search_index(q.where("false"), index).hits.count() == 0
+    empty = build_index(d.where("false"), work_path(spark, "index"))
+    assert search_index(q, empty).hits.count() == 0
+    assert [r.scored for r in search_index(q, empty).scored.collect()] == [0] * 12
+
+
+def test_bounds_hold_for_every_document(spark):
+    docs, asked = clustered(800), clustered(30, seed=4).astype("float64")
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(docs)], "doc_id int, vec array<float>")
+    index = build_index(d, work_path(spark, "index"), pivots=8)
+    bound = index.bounds(asked)
+    place = {c: i for i, c in enumerate(index.cells["cell"].tolist())}
+    for r in index.documents(spark).collect():
+        assert (asked @ np.array(r.vec) <= bound[:, place[r.cell]]).all()
