@@ -571,6 +571,15 @@ FROM doc_texts t JOIN (SELECT fileno, applicant FROM gold) ON doc_id = fileno"""
     "FROM embeddings JOIN anchors USING (label)",
     "topk": _with("anchors") + _topk(_ANCHOR_QUESTIONS),
     "topk_blocks": _topk("SELECT vec_id AS question_id, embedding AS vec FROM embeddings"),
+    "topk_ann": _topk("SELECT vec_id AS question_id, embedding AS vec FROM embeddings"),
+    "retrieval_groups": _with("anchors")
+    + "\nUNION ALL\n".join(
+        "SELECT * FROM (" + _topk(
+            f"SELECT '{reader}:' || anchor_id AS question_id, anchor AS vec FROM anchors",
+            f"(SELECT * FROM embeddings WHERE {seen})",
+        ) + ")"
+        for reader, seen in (("few", "label < 3"), ("even", "label IN (0, 2, 4, 6, 8)"), ("all", "true"))
+    ),
     "retrieval_acl": _with("anchors")
     + _topk(
         _ANCHOR_QUESTIONS,
@@ -597,6 +606,8 @@ FROM (SELECT min(top_score) FILTER (WHERE answerable) AS low,
              max(top_score) FILTER (WHERE NOT answerable) AS high FROM answers)""",
     "mask_pii": _with("silver")
     + f"SELECT * REPLACE ('{fixed.MASK_TEXT}' AS applicant) FROM silver",
+    "mask_view": _with("silver")
+    + f"SELECT * REPLACE ('{fixed.MASK_TEXT}' AS applicant) FROM silver",
     "mask_by_row": _with("silver")
     + f"SELECT * REPLACE (CASE WHEN branch = 'NATION_2' THEN applicant ELSE '{fixed.MASK_TEXT}' END "
     "AS applicant) FROM silver",
@@ -611,8 +622,10 @@ UNION ALL SELECT 'gold.attendance_by_course', count(*) FROM by_course
 UNION ALL SELECT 'governance.dq_run_log', count(*) FROM report""",
     "cluster_write": _with("silver") + "SELECT * FROM silver",
     "compact": "SELECT * FROM lineitem",
+    "compact_packed": "SELECT * FROM lineitem",
     "stream_bronze": _with("feed") + f"SELECT {_CSV_RAW} FROM feed",
     "stream_silver": _with("silver") + f"SELECT {_CSV_SILVER} FROM silver",
+    "stream_merged": _with("silver") + f"SELECT {_CSV_SILVER} FROM silver",
     "stream_dq": _batch_lines(),
     "rejects_malformed": _well_formed("rejects")
     + f"""SELECT *, CAST(NULL AS VARCHAR) AS record FROM rejects UNION ALL BY NAME

@@ -12,7 +12,7 @@ from curate.functions.rates import band, exact_rate, safe_rate
 from curate.functions.sizes import checked_broadcast, spread_small
 from curate.functions.text import intent
 from curate.functions.vectors import cosine
-from curate.operators import aggregate, answers, dedup, governance, headers, layout, quality
+from curate.operators import aggregate, answers, dedup, governance, headers, layout, quality, vector_index
 from curate.operators.documents import build_documents, citation
 from curate.operators.embed import embed
 from curate.operators.knn import knn_join
@@ -403,17 +403,19 @@ def dq_alerts(spark, sf):
     return in_order(ts_text(quality.alerts(log, now=datetime(2024, 9, 1, 18, 0, 0))))
 
 
+def _expected(spark, sf):
+    records = medallion.latest_records(attendance_feed(spark, sf))
+    return quality.store_expectations(records, quality.ATTENDANCE_EXPECTATIONS, work_path(spark, "expected"))
+
+
 @query
 def expectations(spark, sf):
-    records = medallion.latest_records(attendance_feed(spark, sf))
-    return quality.apply_expectations(records, quality.ATTENDANCE_EXPECTATIONS)[1]
+    return _expected(spark, sf)[1]
 
 
 @query
 def expectations_kept(spark, sf):
-    records = medallion.latest_records(attendance_feed(spark, sf))
-    kept = quality.apply_expectations(records, quality.ATTENDANCE_EXPECTATIONS)[0]
-    return kept.select("fileno", "course_date", "is_age_valid")
+    return _expected(spark, sf)[0].select("fileno", "course_date", "is_age_valid")
 
 
 # --- documents, vectors, answers ------------------------------------------------------------
@@ -494,10 +496,37 @@ def topk(spark, sf):
 
 @query
 def topk_blocks(spark, sf):
-    """Best three documents for every vector, by pairs of blocks."""
+    """Best three documents for every vector: many files of questions and many
+    chunks of documents."""
     docs = _vectors(spark, sf)
     asked = docs.withColumnRenamed("doc_id", "question_id")
-    return _rounded(knn_join(asked, docs, k=3, max_shared_questions=0, block_rows=1024))
+    return _rounded(knn_join(asked, docs, k=3, block_rows=128))
+
+
+def _indexed(spark, sf):
+    docs = _vectors(spark, sf)
+    index = vector_index.build_index(docs, work_path(spark, "index"))
+    return vector_index.search_index(docs.withColumnRenamed("doc_id", "question_id"), index, k=3)
+
+
+@query
+def topk_ann(spark, sf):
+    """Best three documents for every vector from an index, in its exact mode."""
+    return _rounded(_indexed(spark, sf).hits)
+
+
+@query
+def retrieval_groups(spark, sf):
+    """Every label's anchor asks for three readers at once, who may see the labels
+    below 3, the even ones, and all."""
+    docs = _vectors(spark, sf).withColumn("label", F.col("label").cast("string"))
+    seen = (("few", ["0", "1", "2"]), ("even", ["0", "2", "4", "6", "8"]), ("all", None))
+    readers = F.array(*(F.struct(F.lit(r).alias("reader"), F.lit(g).cast("array<string>").alias("groups")) for r, g in seen))
+    asked = _anchors(table(spark, sf, "embeddings")).select("anchor_id", "anchor", F.inline(readers))
+    questions = asked.select(
+        F.concat_ws(":", "reader", F.col("anchor_id").cast("string")).alias("question_id"), F.col("anchor").alias("vec"), "groups"
+    )
+    return _rounded(knn_join(questions, docs, k=3, group="label"))
 
 
 @query
@@ -593,6 +622,16 @@ def mask_pii(spark, sf):
     return governance.mask_columns(silver(spark, sf), reader=False)
 
 
+@query
+def mask_view(spark, sf):
+    """What a user whom nobody listed as a reader sees of the stored table."""
+    path, readers = work_path(spark, "silver"), work_path(spark, "readers")
+    tables.write_replace(silver(spark, sf), path)
+    spark.createDataFrame([], "reader string").write.parquet(readers)
+    governance.masked_view(spark, "masked_training", path, f"parquet.`{readers}`")
+    return spark.table("masked_training")
+
+
 @query
 def mask_by_row(spark, sf):
     """Names stay readable for rows of one's own branch."""
@@ -661,6 +700,18 @@ def compact(spark, sf):
     return spark.read.parquet(whole)
 
 
+@query
+def compact_packed(spark, sf):
+    """Folders of one file of fair size and many small ones, packed where they lie."""
+    path = work_path(spark, "packed")
+    rows = table(spark, sf, "lineitem")
+    bulk = F.col("l_orderkey") % 4 > 0
+    rows.where(bulk).repartition(1, "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    rows.where(~bulk).repartition(24).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    layout.pack(spark, path, keys=("l_shipdate",))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 # --- streaming ------------------------------------------------------------------------------------
 
 
@@ -693,24 +744,31 @@ def stream_bronze(spark, sf):
     return spark.read.parquet(out)
 
 
-def _stream_silver(spark, sf):
+def _stream_silver(spark, sf, merge=False):
     versions, log = work_path(spark, "versions"), work_path(spark, "dq-stream")
-    checkpoint = work_path(spark, "offsets")
+    checkpoint, merged = work_path(spark, "offsets"), work_path(spark, "merged") if merge else None
     _streamed(
-        spark, sf, lambda raw: ingest.ingest_silver(raw, versions, log, checkpoint, "batch", RUN_TS)
+        spark, sf, lambda raw: ingest.ingest_silver(raw, versions, log, checkpoint, "batch", RUN_TS, table=merged)
     )
-    return versions, log
+    return versions, log, merged
 
 
 @query
 def stream_silver(spark, sf):
-    versions, _ = _stream_silver(spark, sf)
+    versions, _, _ = _stream_silver(spark, sf)
     return medallion.split(ingest.current_records(spark, versions))[0]
 
 
+@query
+def stream_merged(spark, sf):
+    """The same from the table that each batch was merged into."""
+    _, _, merged = _stream_silver(spark, sf, merge=True)
+    return medallion.split(ingest.merged_records(spark, merged))[0]
+
+
 @query
 def stream_dq(spark, sf):
-    _, log = _stream_silver(spark, sf)
+    _, log, _ = _stream_silver(spark, sf)
     return tables.read_log(spark, log).select(
         "run_id", "rule_name", "rows_in", "rows_evaluated", "rows_passed", "rows_failed", "pass_rate"
     )

@@ -53,3 +53,36 @@ def mask_columns(
         value = F.when(allowed, F.col(name).cast("string")).otherwise(mask)
         masked[name] = value.alias(name, metadata=df.schema[name].metadata)
     return df.select(*[masked.get(c, F.col(c)) for c in df.columns])
+
+
+def masked_view(
+    spark: SparkSession,
+    view: str,
+    table: str,
+    readers: str,
+    classifications: Iterable[str] = ("PII",),
+    mask: str = MASK_TEXT,
+) -> None:
+    """A view over a stored ``table`` (a name, or a folder of parquet) in which the
+    values of classified columns show only to those whom the table ``readers``
+    (column ``reader``) lists.
+
+    Who asks is decided when the view is read, by ``current_user()``: a reader added
+    to or taken from the list counts at once, and filters of a query see masked
+    values, since the mask is part of the column. The view stays in the catalog,
+    so the stored table can be kept from those who may read only the view. Columns
+    are found by their tags in the stored schema; a table without any is an error.
+    """
+    stored = spark.read.parquet(table) if "/" in table else spark.table(table)
+    names = set(tagged_columns(stored, classifications))
+    if not names:
+        raise ValueError(f"no column of {table} is tagged {', '.join(classifications)}")
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in stored.columns}
+    text = mask.replace("\\", "\\\\").replace("'", "\\'")
+    allowed = f"(SELECT count(*) > 0 FROM {readers} WHERE reader = current_user())"
+    columns = ", ".join(
+        f"element_at(array('{text}', CAST({q} AS STRING)), IF({allowed}, 2, 1)) AS {q}" if c in names else q
+        for c, q in quoted.items()
+    )
+    source = f"parquet.`{table}`" if "/" in table else table
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM {source}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -222,6 +223,11 @@ def apply_expectations(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.expr(e.condition)).alias(f"passed_{i}") for i, e in enumerate(expectations)],
     )
+    return kept, _expectation_lines(counts, expectations)
+
+
+def _expectation_lines(counts: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
+    """A line per expectation from one row of ``total`` and ``passed_<i>``."""
     lines = [
         F.struct(
             F.lit(e.name).alias("expectation"),
@@ -231,7 +237,37 @@ def apply_expectations(
         )
         for i, e in enumerate(expectations)
     ]
-    return kept, counts.select(F.inline(F.array(*lines)))
+    nothing = "array<struct<expectation: string, on_failure: string, passed_rows: bigint, failed_rows: bigint>>"
+    return counts.select(F.inline(F.array(*lines) if lines else F.array().cast(nothing)))
+
+
+MET, KEPT = "expectations_met", "expectations_kept"
+
+
+def store_expectations(
+    df: DataFrame, expectations: Sequence[Expectation], path: str
+) -> tuple[DataFrame, DataFrame]:
+    """What ``apply_expectations`` gives, from one pass over ``df``.
+
+    Every row is written once below ``path``, with what it meets beside it and in
+    a folder by whether it is kept, so dropped rows can be looked at too. Kept rows
+    and counts are both read from there: they agree, and a retried task cannot
+    count twice. A null condition is not met. ``path`` is replaced; an input with a
+    column of the names used here is an error.
+    """
+    if {MET, KEPT} & set(df.columns):
+        raise ValueError(f"columns {MET} and {KEPT} are taken")
+    met = [F.coalesce(F.expr(e.condition), F.lit(False)) for e in expectations]
+    kept = reduce(lambda a, b: a & b, [m for m, e in zip(met, expectations) if e.drop], F.lit(True))
+    none = F.array().cast("array<boolean>")
+    marked = df.withColumns({MET: F.array(*met) if met else none, KEPT: kept})
+    marked.write.mode("overwrite").partitionBy(KEPT).parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    counts = stored.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.get(F.col(MET), F.lit(i))).alias(f"passed_{i}") for i in range(len(met))],
+    )
+    return stored.where(F.col(KEPT)).select(*df.columns), _expectation_lines(counts, expectations)
 
 
 ATTENDANCE_EXPECTATIONS = (

@@ -16,6 +16,7 @@ from curate.operators.headers import clean_headers
 from curate.operators.quality import dq_report
 from curate.plans.medallion import counted_records, flagged
 from curate.sources.csv import MALFORMED, parted
+from curate.streaming.merged import merge_batch, read_merged
 
 DERIVED = ("age_clean", "is_age_valid", "dq_days_mismatch")
 
@@ -76,6 +77,7 @@ def ingest_silver(
     run_ts: datetime,
     continuous: str | None = None,
     rejects: str | None = None,
+    table: str | None = None,
 ) -> StreamingQuery:
     """Clean each batch into its best record per key and report on it.
 
@@ -85,6 +87,11 @@ def ingest_silver(
     A batch appends its own records and rewrites nothing: ``current_records``
     picks among the batches when read, and ``fold_batches`` merges them from
     time to time. The cost of a batch depends on the batch, not on the table.
+
+    With ``table`` the batch is also merged into that table, which holds one record
+    per key: of its hash buckets those are rewritten that the batch has keys in, and
+    ``merged_records`` reads it as it is. That suits many reads between batches;
+    ``versions`` then serves the report and may be removed up to the last batch.
     """
 
     _needs_rejects(raw, rejects)
@@ -97,6 +104,8 @@ def ingest_silver(
         staged = batch.sparkSession.read.parquet(path)
         report = dq_report(staged, f"{run_prefix}-{batch_id}", run_ts, versions, malformed=malformed)
         report.write.mode("overwrite").parquet(f"{dq_log}/batch_id={batch_id}")
+        if table:
+            merge_batch(staged.drop(COPIES, VARIANTS, *DERIVED), table, batch_id, "fileno", "course_date", "applicant")
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _start(writer, continuous)
@@ -120,6 +129,11 @@ def current_records(
     return _merged(spark, versions, F.col("batch_id") > after, folded)
 
 
+def merged_records(spark: SparkSession, table: str) -> DataFrame:
+    """One flagged record per key, from the table that batches were merged into."""
+    return flagged(read_merged(spark, table))
+
+
 def fold_batches(
     spark: SparkSession,
     versions: str,
