@@ -1,7 +1,7 @@
 """Signature rules for license texts, in order.
 
 Rules match normalised words (lower case, one space between them). Each names the
-word it starts with, a keyword that must stand in the words from there on, and a
+word it starts with, a keyword that is part of whatever it matches, and a
 priority: 0 for declared identifiers, 1 for grants, 2 for web addresses, 3 for
 titles, 4 for bare names.
 """
@@ -25,11 +25,11 @@ LICENSES = [
     ("mit-0", "mit 0", "mit no attribution license", "mit", "mit"),
     ("apache-2.0", "apache 2 0", "apache(?: software)? license(?: version)? 2(?: 0)?", "apache", "apache"),
     ("apache-1.1", "apache 1 1", "apache(?: software)? license(?: version)? 1 1", "apache", "apache"),
-    ("gpl-2.0", "gpl 2 0(?: only| or later)?", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?v?2(?: 0)?", "2", "gnu gpl general"),
-    ("gpl-3.0", "gpl 3 0(?: only| or later)?", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?v?3(?: 0)?", "3", "gnu gpl general"),
-    ("lgpl-2.1", "lgpl 2 1(?: only| or later)?", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version| v)? ?v?2 1", "1", "gnu lgpl lesser library"),
-    ("lgpl-3.0", "lgpl 3 0(?: only| or later)?", "(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?v?3(?: 0)?", "3", "gnu lgpl lesser"),
-    ("agpl-3.0", "agpl 3 0(?: only| or later)?", "(?:gnu )?(?:agpl|affero general public license)(?: version| v)? ?v?3(?: 0)?", "3", "gnu agpl affero"),
+    ("gpl-2.0", "gpl 2 0(?: only| or later)?", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?v?2(?: 0)?", "2", "gnu gpl general gplv2 gpl2"),
+    ("gpl-3.0", "gpl 3 0(?: only| or later)?", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?v?3(?: 0)?", "3", "gnu gpl general gplv3 gpl3"),
+    ("lgpl-2.1", "lgpl 2 1(?: only| or later)?", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version| v)? ?v?2 1", "1", "gnu lgpl lesser library lgplv2 lgpl2"),
+    ("lgpl-3.0", "lgpl 3 0(?: only| or later)?", "(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?v?3(?: 0)?", "3", "gnu lgpl lesser lgplv3 lgpl3"),
+    ("agpl-3.0", "agpl 3 0(?: only| or later)?", "(?:gnu )?(?:agpl|affero general public license)(?: version| v)? ?v?3(?: 0)?", "3", "gnu agpl affero agplv3 agpl3"),
     ("bsd-2-clause", "bsd 2 clause", "(?:2 clause bsd|simplified bsd|bsd 2 clause)(?: license)?", "bsd", "2 simplified bsd"),
     ("bsd-3-clause", "bsd 3 clause", "(?:3 clause bsd|new bsd|modified bsd|bsd 3 clause)(?: license)?", "bsd", "3 new modified bsd"),
     ("0bsd", "0bsd", "(?:zero clause bsd|0 clause bsd)(?: license)?", "bsd", "zero 0"),
@@ -110,10 +110,12 @@ class Rule:
 def rules() -> list[Rule]:
     rows = [(3, label, phrase.split()[0], phrase.split()[-1], phrase, 0.8, True) for phrase, label in PHRASES]
     for priority, first, form, confidence in FORMS:
-        rows += [
-            (priority, label, first, keyword, form.format(id=f"(?:{ident})", name=f"(?:{name})"), confidence, False)
-            for label, ident, name, keyword, _ in LICENSES
-        ]
+        for label, ident, name, keyword, _ in LICENSES:
+            if "{id}" in form and keyword not in ident:
+                # Some identifiers lack the word that all names share.
+                keyword = ident.split()[0]
+            pattern = form.format(id=f"(?:{ident})", name=f"(?:{name})")
+            rows.append((priority, label, first, keyword, pattern, confidence, False))
     rows += [(p, label, first, keyword, pattern, c, False) for p, first, pattern, keyword, label, c in SINGLE]
     for label, _, name, keyword, firsts in LICENSES:
         rows += [(4, label, first, keyword, name, 0.5, False) for first in firsts.split()]
@@ -121,5 +123,5 @@ def rules() -> list[Rule]:
 
 
 # Every match has one of these words or word starts in it or is left to no rule.
-GATES = ("licen", " cc by ", " cc0 ", " spdx ", "gpl ", "wtfpl ", " public domain ", " rights reserved ", " is hereby granted ", " bsd ", "creative commons ",
+GATES = ("licen", " cc by ", " cc0 ", " spdx ", "gpl", "wtfpl ", " public domain ", " rights reserved ", " is hereby granted ", " bsd ", "creative commons ",
          "creativecommons ", " to use copy modify ", " source and binary forms ", " unencumbered software ")

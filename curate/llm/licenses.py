@@ -1,8 +1,8 @@
 """License scans by ordered signature rules.
 
 Texts pass a keyword gate first. In those that do, each place whose word starts
-some rule is tried: the rules of that word whose keyword stands in the words from
-there on are matched, in order. Of matches over the same words the first rule's
+some rule is tried: the rules of that word whose keyword stands in the text from
+there on, also glued to other letters, are matched, in order. Of matches over the same words the first rule's
 stays; a match within another of the same or a better priority is suppressed.
 """
 
@@ -23,7 +23,7 @@ def _rule_table() -> tuple[Column, Column]:
     rows = F.array(*(
         F.struct(
             F.lit(r.order).alias("order"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"),
-            F.lit(r.first).alias("first"), F.lit(f" {r.keyword} ").alias("keyword"),
+            F.lit(r.first).alias("first"), F.lit(r.keyword).alias("keyword"),
             F.lit(f"^(?:{r.pattern})(?= )").alias("pattern"), F.lit(r.confidence).alias("confidence"), F.lit(r.phrase).alias("phrase"),
         )
         for r in table
@@ -40,7 +40,7 @@ def _matches(words: Column) -> Column:
         from_here = F.concat(F.array_join(F.slice(words, i + 1, REACH), " "), F.lit(" "))
         tried = F.filter(
             table,
-            lambda r: (r["first"] == F.get(words, i)) & F.contains(F.concat(F.lit(" "), from_here), r["keyword"]) & F.regexp_like(from_here, r["pattern"]),
+            lambda r: (r["first"] == F.get(words, i)) & F.contains(from_here, r["keyword"]) & F.regexp_like(from_here, r["pattern"]),
         )
 
         def match(r: Column) -> Column:
