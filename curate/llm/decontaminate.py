@@ -17,6 +17,7 @@ seed is compared by the hashes of its words.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 from itertools import combinations
 
@@ -180,9 +181,11 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` overlaps no item, all columns as they are.
 
     Rows without an id are one document to ``overlaps``; here each is judged by
-    the hash of its text instead.
+    the hash of its text instead. Null and empty texts stay, repeated rows stay or
+    go together, columns may have any names, empty tables give what there is.
     """
     key = F.struct("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
     named = docs.select(F.to_json(key).alias("doc_id"), "text")
-    found = overlaps(named, items).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.to_json(key) == F.col("__found"), "left_anti")
+    name = f"found_{uuid.uuid4().hex[:8]}"
+    found = overlaps(named, items).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, F.to_json(key) == F.col(name), "left_anti")
