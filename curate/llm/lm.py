@@ -1,20 +1,22 @@
 """Language-model scores from a weighted backoff automaton.
 
-The model is a bigram model smoothed towards add-one unigrams: with counts c over
-the training texts, N tokens, V distinct ones and a constant k,
+The model is an n-gram model of any order, smoothed towards add-one unigrams: with
+counts c over the training texts, N tokens, V distinct ones and a constant k,
 
     p(w)   = (c(w) + 1) / (N + V + 1)
-    p(w|h) = (c(hw) + k p(w)) / (c(h) + k),
+    p(w|h) = (c(hw) + k p(w|h')) / (c(h) + k),
 
-which sums to one over all words and one unknown. As an automaton: every known
-word is a state, every seen pair an arc with weight log p(w|h), and a state's
-failure arc leads to the root with weight log k / (c(h) + k), where the arc of w
-weighs log p(w). One pass from left to right carries the state, the last word if
-it is known, and adds up the weights.
+where h' is h without its oldest word; a context that was never seen gives p(w|h').
+That sums to one over all words and one unknown in every context. As an automaton:
+every n-gram seen that is shorter than the order is a state, every seen continuation
+an arc with weight log p(w|h), and a state's failure arc leads to the state of h'
+with weight log k / (c(h) + k), down to the root, where the arc of w weighs log p(w).
+One pass from left to right carries the state, the longest seen context, and adds up
+the weights of the arcs and failure arcs it takes.
 
 The automaton is as large as the corpus, so no task holds it. Texts are dealt to
-blocks of bounded size. A block sends the hashes of its distinct words and pairs,
-with their training counts, to buckets of the hash range; a bucket adds up what
+blocks of bounded size. A block sends the hashes of its distinct n-grams of each
+length, with their training counts, to buckets of the hash range; a bucket adds up what
 all blocks sent and returns the totals in the order they came. A key reaches a
 bucket once per block, however often it occurs, so no key makes a bucket hot.
 """
@@ -34,7 +36,9 @@ BLOCK_BYTES = 8 << 20
 # Blocks' keys that one bucket takes, in bytes of text.
 BUCKET_BYTES = 16 << 20
 K = 20.0
-WORD, PAIR = 0, 1
+ORDER = 3
+# Kinds of keys are lengths of n-grams.
+WORD = 1
 _END = np.uint64(0xD6E8FEB86659FD93)
 _PREVIOUS = np.uint64(0xA0761D6478BD642F)
 
@@ -67,20 +71,29 @@ class _Block:
             self.train.append(part.column("train").to_numpy(zero_copy_only=False).astype(bool))
             self.ids.append(part.column("id"))
 
-    def close(self) -> None:
-        self.flat = np.concatenate(self.tokens)
+    def close(self, order: int) -> None:
+        flat = np.concatenate(self.tokens)
         self.per_text = np.concatenate(self.sizes)
         self.trained = np.repeat(np.concatenate(self.train), self.per_text)
         self.text = np.repeat(np.arange(len(self.per_text)), self.per_text)
-        # The first token of a text follows none.
-        self.inner = np.flatnonzero(self.text[1:] == self.text[:-1]) + 1
-        pairs = mix(self.flat[self.inner - 1] * _PREVIOUS + mix(self.flat[self.inner]))
-        self.words, self.word_at = np.unique(self.flat, return_inverse=True)
-        self.pairs, self.pair_at = np.unique(pairs, return_inverse=True)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(self.per_text) - self.per_text, self.per_text)
+        # Of each length: where n-grams of one text end, the distinct ones, which one each is.
+        self.ends: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []
+        self.which: list[np.ndarray] = []
+        gram, last = flat, mix(flat)
+        for n in range(1, order + 1):
+            if n > 1:
+                gram = np.concatenate((gram[:1], mix(gram[:-1] * _PREVIOUS + last[1:])))
+            ends = np.flatnonzero(place >= n - 1)
+            keys, which = np.unique(gram[ends], return_inverse=True)
+            self.ends.append(ends)
+            self.keys.append(keys)
+            self.which.append(which.astype(np.int32))
 
     def counted(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        yield WORD, self.words, np.bincount(self.word_at, self.trained, len(self.words)).astype(np.uint32)
-        yield PAIR, self.pairs, np.bincount(self.pair_at, self.trained[self.inner], len(self.pairs)).astype(np.uint32)
+        for n, (ends, keys, which) in enumerate(zip(self.ends, self.keys, self.which), 1):
+            yield n, keys, np.bincount(which, self.trained[ends], len(keys)).astype(np.uint32)
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,11 +110,11 @@ COUNTS = "kind int, bucket int, block int, keys binary, counts binary"
 TOTALS = "kind int, bucket int, block int, totals binary, tokens long, distinct_tokens long"
 
 
-def _gather(buckets: int):
+def _gather(buckets: int, order: int):
     """Blocks to one row per kind and bucket: sorted keys and their training counts."""
 
     def rows(number: int, block: _Block) -> Iterator[pa.RecordBatch]:
-        block.close()
+        block.close(order)
         for kind, keys, counts in block.counted():
             bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             edges = np.flatnonzero(np.diff(bucket)) + 1
@@ -165,41 +178,46 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Automaton:
-    """The part of the automaton that a block's texts can reach."""
-
-    def __init__(self, word_counts: np.ndarray, pair_counts: np.ndarray, tokens: int, distinct: int, k: float):
-        self.words, self.pairs, self.k = word_counts.astype(float), pair_counts.astype(float), k
-        self.p = (self.words + 1) / (tokens + distinct + 1)
-        self.root = np.log10(self.p)
-        self.fail = np.log10(k / (self.words + k))
-
-    def walk(self, block: _Block) -> np.ndarray:
-        """Log weight of each step: along an arc where there is one, else by the
-        failure arc of the state, if the last word is one, and the root's arc."""
-        word = block.word_at
-        weight = self.root[word]
-        last, here = word[block.inner - 1], word[block.inner]
-        known = self.words[last] > 0
-        seen = self.pairs[block.pair_at]
-        arc = np.log10((seen + self.k * self.p[here]) / (self.words[last] + self.k))
-        weight[block.inner] = np.where(seen > 0, arc, np.where(known, self.fail[last] + self.root[here], self.root[here]))
-        return weight
-
-
-def _score(tokens: int, distinct: int, k: float):
+    """The part of the automaton that a block's texts can reach: training counts of
+    its n-grams, by length."""
+
+    def __init__(self, counts: list[np.ndarray], tokens: int, distinct: int, k: float):
+        self.counts, self.k = [c.astype(float) for c in counts], k
+        self.root = (self.counts[0] + 1) / (tokens + distinct + 1)
+
+    def walk(self, block: _Block) -> tuple[np.ndarray, np.ndarray]:
+        """Log weights of each step at the root, and of the way from the longest seen
+        context: along its arc where there is one, else by failure arcs to the first
+        state that has one."""
+        p = self.root[block.which[0]]
+        base = weight = np.log10(p)
+        context = self.counts[0][block.which[0]]
+        weight = weight.copy()
+        for ends, which, counts in zip(block.ends[1:], block.which[1:], self.counts[1:]):
+            seen, state, lower = counts[which], context[ends - 1], p[ends]
+            known = state > 0
+            full = np.where(known, (seen + self.k * lower) / (state + self.k), lower)
+            fail = np.where(known, np.log10(self.k / (state + self.k)), 0.0)
+            weight[ends] = np.where(seen > 0, np.log10(full), fail + weight[ends])
+            p[ends] = full
+            context = np.zeros(len(p))
+            context[ends] = seen
+        return base, weight
+
+
+def _score(tokens: int, distinct: int, k: float, order: int):
     def rows(block: _Block, totals: dict[int, list[tuple[int, bytes]]]) -> Iterator[pa.RecordBatch]:
         if not block.ids:
             return
-        block.close()
-        words, pairs = (
+        block.close(order)
+        counts = [
             np.concatenate([np.empty(0, np.uint64), *(_values(raw, np.uint64) for _, raw in sorted(totals[kind]))])
-            for kind in (WORD, PAIR)
-        )
-        automaton = Automaton(words, pairs, tokens, distinct, k)
+            for kind in range(1, order + 1)
+        ]
+        base, weight = Automaton(counts, tokens, distinct, k).walk(block)
         n = len(block.per_text)
-        known = np.bincount(block.text, automaton.words[block.word_at] > 0, n).astype(np.int64)
-        base = np.bincount(block.text, automaton.root[block.word_at], n)
-        score = np.bincount(block.text, automaton.walk(block), n)
+        known = np.bincount(block.text, counts[0][block.which[0]] > 0, n).astype(np.int64)
+        base, score = np.bincount(block.text, base, n), np.bincount(block.text, weight, n)
         columns = [
             pa.concat_arrays(block.ids), pa.array(block.per_text), pa.array(known), pa.array(np.full(n, tokens)), pa.array(base), pa.array(score),
         ]
@@ -211,7 +229,7 @@ def _score(tokens: int, distinct: int, k: float):
             if part.column("block")[0].as_py() != number:
                 if block is not None:
                     yield from rows(block, totals)
-                number, block, totals = part.column("block")[0].as_py(), _Block(), {WORD: [], PAIR: []}
+                number, block, totals = part.column("block")[0].as_py(), _Block(), {n: [] for n in range(1, order + 1)}
             is_text = part.column("kind").to_numpy() < 0
             for row in part.filter(pa.array(~is_text)).to_pylist():
                 totals[row["kind"]].append((row["bucket"], row["totals"]))
@@ -223,16 +241,21 @@ def _score(tokens: int, distinct: int, k: float):
     return run
 
 
-def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", k: float = K) -> DataFrame:
+def score(
+    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", k: float = K, order: int = ORDER
+) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every whole text.
 
     ``train`` says which rows the model learns from (null: not). Tokens are runs of
     anything but white space, A-Z lower-cased, and one end per text, so null and
     empty texts have one token. ``base_score`` sums log10 p(w), ``score`` the weights
-    of the automaton. Words and pairs are told apart by 64-bit hashes. Without any
+    of the automaton, whose n-grams have up to ``order`` words. N-grams are told apart by
+    64-bit hashes. Without any
     training row all words are unknown. Repeated rows count and are scored each;
     an empty table gives no rows; other columns are left out.
     """
+    if order < 1:
+        raise ValueError("an n-gram has a word at least")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
@@ -242,9 +265,9 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     dealt = source.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
 
     blocked = dealt.repartition(min(parts, blocks), "block").sortWithinPartitions("block")
-    counts = blocked.mapInArrow(_gather(buckets), COUNTS)
+    counts = blocked.mapInArrow(_gather(buckets, order), COUNTS)
     path = work_path(spark, "lm-totals")
-    merged = counts.repartition(min(parts, 2 * buckets), "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
+    merged = counts.repartition(min(parts, order * buckets), "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
     merged.mapInArrow(_merge, TOTALS).write.parquet(path)
     totals = spark.read.schema(TOTALS).parquet(path)
     tokens, distinct = totals.where(F.col("kind") == WORD).agg(
@@ -257,7 +280,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     ready = both.repartition(min(parts, blocks), "block").sortWithinPartitions("block")
     kind = source.schema["id"].dataType.simpleString()
     scored = ready.mapInArrow(
-        _score(int(tokens), int(distinct), k),
+        _score(int(tokens), int(distinct), k, order),
         f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
     return scored.withColumnRenamed("id", id_col)

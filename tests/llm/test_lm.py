@@ -18,30 +18,41 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER)), None]
 
 
-def by_hand(rows, k=lm.K):
-    words, pairs = collections.Counter(), collections.Counter()
-    for _, text, train in rows:
-        if train:
-            words.update(tokens(text))
-            pairs.update(zip(tokens(text), tokens(text)[1:]))
-    n, v = sum(words.values()), len(words)
-    p = lambda w: (words[w] + 1) / (n + v + 1)
+def model(texts, order, k=lm.K):
+    """``p(w, h)`` and the counts of n-grams by length, counted one by one."""
+    counts = [collections.Counter() for _ in range(order + 1)]
+    for text in texts:
+        t = tokens(text)
+        for n in range(1, order + 1):
+            counts[n].update(tuple(t[i : i + n]) for i in range(len(t) - n + 1))
+    n, v = sum(counts[1].values()), len(counts[1])
+
+    def p(w, h):
+        if not h:
+            return (counts[1][w,] + 1) / (n + v + 1)
+        lower = p(w, h[1:])
+        state = counts[len(h)][h]
+        return (counts[len(h) + 1][(*h, w)] + k * lower) / (state + k) if state else lower
+
+    return p, counts, n
+
+
+def by_hand(rows, order, k=lm.K):
+    p, counts, n = model([text for _, text, train in rows if train], order, k)
     out = []
     for key, text, _ in rows:
         t = tokens(text)
-        score = math.log10(p(t[0]))
-        for h, w in zip(t, t[1:]):
-            score += math.log10((pairs[h, w] + k * p(w)) / (words[h] + k)) if words[h] else math.log10(p(w))
-        out.append((key, len(t), sum(w in words for w in t), n, sum(math.log10(p(w)) for w in t), score))
+        score = sum(math.log10(p(w, tuple(t[max(0, i - order + 1) : i]))) for i, w in enumerate(t))
+        out.append((key, len(t), sum((w,) in counts[1] for w in t), n, sum(math.log10(p(w, ())) for w in t), score))
     return out
 
 
-def check(spark, rows):
+def check(spark, rows, order=lm.ORDER):
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, train boolean, block int, score string")
-    got = lm.score(docs.repartition(3), F.col("train"))
+    got = lm.score(docs.repartition(3), F.col("train"), order=order)
     assert got.columns == ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    order = lambda r: (str(r[0]), r[1], round(r[5], 6))
-    got, want = sorted(map(tuple, got.collect()), key=order), sorted(by_hand(rows), key=order)
+    sort = lambda r: (str(r[0]), r[1], round(r[5], 6))
+    got, want = sorted(map(tuple, got.collect()), key=sort), sorted(by_hand(rows, order), key=sort)
     assert [r[:4] for r in got] == [r[:4] for r in want]
     for g, w in zip(got, want):
         assert g[4:] == pytest.approx(w[4:], rel=1e-9)
@@ -54,8 +65,9 @@ def sample():
     return rows + [(None, "no id", True), (None, None, False), (500, None, True), (501, "", None), (502, "long one " * 40000, True), *rows[:9]]
 
 
-def test_one_block(spark):
-    check(spark, sample())
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_one_block(spark, order):
+    check(spark, sample(), order)
 
 
 def test_many_blocks_and_buckets(spark, monkeypatch):
@@ -69,14 +81,19 @@ def test_no_training_rows(spark):
 
 
 def test_probabilities_sum_to_one():
-    rows = [(0, "a b a c", True), (1, "b a", True)]
-    words = ["a", "b", "c", None]
-    n, v = 8, 4
-    counts, pairs = collections.Counter("abac"), collections.Counter([("a", "b"), ("b", "a"), ("a", "c"), ("c", None), ("b", "a"), ("a", None)])
-    counts.update("ba"), counts.update([None, None])
-    assert by_hand(rows)[0][3] == n
-    p = lambda w: (counts[w] + 1) / (n + v + 1)
-    assert math.isclose(sum((pairs["a", w] + lm.K * p(w)) / (counts["a"] + lm.K) for w in [*words, "unknown"]), 1)
+    p, counts, _ = model(["a b a c a b", "b a", "c a b a c"], 4)
+    words = ["a", "b", "c", None, "unknown"]
+    for h in [(), ("a",), ("a", "b"), ("b", "a", "c"), ("unknown", "a", "b"), ("c", "c", "c")]:
+        assert math.isclose(sum(p(w, h) for w in words), 1), h
+
+
+def test_a_longer_order_fits_what_it_has_seen(spark):
+    text = "one two three one two four one two three"
+    docs = spark.createDataFrame([(1, text, True), (2, "one two three", False)], "doc_id long, text string, train boolean")
+    scores = [{r.doc_id: r.score for r in lm.score(docs, F.col("train"), order=n, k=0.1).collect()} for n in (1, 2, 3)]
+    assert scores[0][1] < scores[1][1] < scores[2][1]
+    with pytest.raises(ValueError):
+        lm.score(docs, F.col("train"), order=0)
 
 
 def test_empty_table(spark):
