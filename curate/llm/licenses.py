@@ -11,24 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curate.llm.license_rules import GATES, rules
-from curate.llm.words import count_words, normal_text, words_of
+from curate.llm.words import count_words, normal_text, once, words_of
 
 # Words from a place on that a rule may match.
 REACH = 20
 
 
 def _rule_table() -> tuple[Column, Column]:
-    """All rules as one constant array, and the words they start with."""
-    table = rules()
-    rows = F.array(*(
-        F.struct(
+    """The rules of every word that starts some, as one constant map, and these words."""
+    of_word: dict[str, list[Column]] = {}
+    for r in rules():
+        of_word.setdefault(r.first, []).append(F.struct(
             F.lit(r.order).alias("order"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"),
-            F.lit(r.first).alias("first"), F.lit(r.keyword).alias("keyword"),
-            F.lit(f"^(?:{r.pattern})(?= )").alias("pattern"), F.lit(r.confidence).alias("confidence"), F.lit(r.phrase).alias("phrase"),
-        )
-        for r in table
-    ))
-    return rows, F.array(*(F.lit(w) for w in sorted({r.first for r in table})))
+            F.lit(r.keyword).alias("keyword"), F.lit(f"^(?:{r.pattern})(?= )").alias("pattern"),
+            F.lit(r.confidence).alias("confidence"), F.lit(r.phrase).alias("phrase"),
+        ))
+    words = sorted(of_word)
+    return F.create_map(*(c for w in words for c in (F.lit(w), F.array(*of_word[w])))), F.array(*map(F.lit, words))
 
 
 def _matches(words: Column) -> Column:
@@ -37,21 +36,21 @@ def _matches(words: Column) -> Column:
     places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(first, F.get(words, i)))
 
     def at(i: Column) -> Column:
-        from_here = F.concat(F.array_join(F.slice(words, i + 1, REACH), " "), F.lit(" "))
-        tried = F.filter(
-            table,
-            lambda r: (r["first"] == F.get(words, i)) & F.contains(from_here, r["keyword"]) & F.regexp_like(from_here, r["pattern"]),
-        )
+        text = F.concat(F.array_join(F.slice(words, i + 1, REACH), " "), F.lit(" "))
+
+        def tried(here: Column) -> Column:
+            hit = lambda r: F.contains(here, r["keyword"]) & F.regexp_like(here, r["pattern"])
+            return F.transform(F.filter(F.element_at(table, F.get(words, i)), hit), lambda r: match(here, r))
 
-        def match(r: Column) -> Column:
-            found = F.call_function("regexp_extract", from_here, r["pattern"], F.lit(0))
+        def match(here: Column, r: Column) -> Column:
+            found = F.call_function("regexp_extract", here, r["pattern"], F.lit(0))
             stop = i + F.length(found) - F.length(F.replace(found, F.lit(" "), F.lit(""))) + 1
             return F.struct(
                 i.alias("start"), (-stop).alias("back"), r["priority"].alias("priority"), r["order"].alias("order"),
                 r["label"].alias("label"), r["confidence"].alias("confidence"), r["phrase"].alias("phrase"),
             )
 
-        return F.transform(tried, match)
+        return once(text, tried)
 
     return F.array_sort(F.flatten(F.transform(places, at)))
 

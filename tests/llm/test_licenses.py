@@ -5,7 +5,7 @@ import re
 import string
 
 from curate.llm import licenses
-from curate.llm.license_rules import GATES, LICENSES, PHRASES, rules
+from curate.llm.license_rules import GATES, LICENSES, PHRASES, SENTENCES, rules
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 TABLE = [(r, re.compile(f"^(?:{r.pattern})(?= )")) for r in rules()]
@@ -39,6 +39,8 @@ def sample():
         "CC BY-NC 4.0", "MIT", "all rights reserved", "the", "of", "ünder", "cc", "by", "license", "Apache", "GNU GENERAL PUBLIC", "mit-license mit license",
         "www.apache.org/licenses/LICENSE-2.0", "This is free and unencumbered software", "creative commons", "2-clause BSD", "public domain",
         "distributed under the terms of the GNU Lesser General Public License version 2.1", "licensed under GPLv3", "GNU GPLv3", "LGPL v3", "GPLv2",
+        "Redistributions of source code must retain the above copyright notice", "this file is in the public domain", "dual licensed under MIT and GPL",
+        "You should have received a copy of the GNU Lesser General Public License", "https://opensource.org/licenses/ISC", "see LICENSE for details",
         "Mozilla Public License v2.0", "SPDX-License-Identifier: 0BSD", "license: ODbL-1.0",
     ]
     texts = [" ".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(80)]
@@ -112,9 +114,25 @@ def test_common_notations(spark):
         assert label in got[i], text
 
 
+def test_headers_of_real_files(spark):
+    told = {
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements.": "apache-2.0",
+        "This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License": "gpl",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit-license",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2.0",
+        "Classifier: License :: OSI Approved :: MIT License": "mit-license",
+        "Neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "Altered source versions must be plainly marked as such": "zlib",
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(told)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.report(licenses.scan(docs)).collect()}
+    assert [i for i, label in enumerate(told.values()) if label not in got[i]] == []
+
+
 def test_rules():
     table = rules()
-    assert len(table) > 200 and len({r.label for r in table}) > len(LICENSES)
+    assert len(table) > 500 and len({(s[1], s[2]) for s in SENTENCES}) == len(SENTENCES) > 200 and len({r.label for r in table}) > len(LICENSES)
     assert all(re.compile(r.pattern) and r.first and r.keyword for r in table)
     assert len(PHRASES) == sum(r.phrase for r in table)
 
