@@ -8,6 +8,8 @@ executor costs no more than a part of one stage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curate.llm import bpe, decontaminate, jaccard, quality
@@ -16,20 +18,31 @@ from curate.session import work_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for label 1."""
+    """Documents that the classifier takes for label 1, all columns as they are.
+
+    The model learns from the labels of rows that are not held out; null and empty
+    texts are scored as padding, repeated rows stay or go together, an empty table
+    stays empty.
+    """
+    score = f"quality_{uuid.uuid4().hex[:8]}"
     model = quality_model(spark, docs, sf_dir)
-    return quality.scores(docs, model, score_col="__quality").where(F.col("__quality") >= 0.5).select(*docs.columns)
+    return quality.scores(docs, model, score_col=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of similar texts the row with the least id, once; texts without
+    words all stay. See ``jaccard.one_of_each`` for nulls and repeated rows."""
     return jaccard.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that overlap no benchmark item. See ``decontaminate.drop_contaminated``."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text, one row per row; null and
+    empty texts have no tokens."""
     return bpe.digests(bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY))
 
 
