@@ -15,10 +15,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer splits than cores over all cores.
+    """Spread an input of a single split over all cores.
 
     A table in one small file would otherwise keep every step up to the next
-    shuffle on one core. Inputs with splits enough are left alone.
+    shuffle on one core. One split is at most ``spark.sql.files.maxPartitionBytes``,
+    so what is moved is bounded; larger inputs are left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() == 1 else df

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from curate.fixed_values import DEFAULT_K
-from curate.session import work_path
+from curate.session import qualified, work_path
 
 # Tasks get this module's helpers with the function itself, so executors need
 # not have the package installed.
@@ -266,7 +266,7 @@ def write_questions(questions: DataFrame, k: int, block_rows: int) -> tuple[str,
     (writer.partitionBy("cell") if "cell" in given else writer).parquet(folder)
     written = spark.read.schema(asked.schema).parquet(folder)
     most = written.agg(F.max("k")).first()[0] if "k" in given else k
-    return folder, asked.schema["question_id"].dataType, most or 0
+    return qualified(spark, folder), asked.schema["question_id"].dataType, most or 0
 
 
 def scan(

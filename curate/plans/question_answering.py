@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curate.fixed_values import BRANCH_QUESTIONS, COURSE_QUESTIONS, GENERAL_QUESTIONS
+from curate.fixed_values import BRANCH_QUESTIONS, COURSE_QUESTIONS, GENERAL_QUESTIONS, SIMILARITY_THRESHOLD
+from curate.operators.answers import answer_all, calibrate
 from curate.operators.documents import build_documents
 from curate.operators.embed import Encoder, embed
 from curate.sources.tables import write_replace
@@ -57,3 +58,19 @@ def attendance_questions(records: DataFrame) -> DataFrame:
     )
     # The question text is its own identity.
     return asked.select(F.col("question").alias("question_id"), "question", "k", "answerable")
+
+
+def threshold_for(
+    labelled: DataFrame, corpus: DataFrame, encoder: Encoder | None = None, default: float = SIMILARITY_THRESHOLD
+) -> float:
+    """The refusal threshold that belongs to ``encoder`` and ``corpus``: midway
+    between the scores of the ``labelled`` questions (question_id, question, k,
+    answerable) that the corpus can and cannot answer.
+
+    ``default`` where the two overlap, or one kind is missing: then no threshold
+    separates them. Scores of different encoders are on different scales, so the
+    result is to be kept with the vectors, not with the questions.
+    """
+    scored = answer_all(labelled, corpus, threshold=float("-inf"), encoder=encoder).select("question_id", "top_score")
+    row = calibrate(scored.join(labelled.select("question_id", "answerable"), "question_id")).first()
+    return default if row["suggested_threshold"] is None else row["suggested_threshold"]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Tells the work folders of one driver process from those of others.
+_PROCESS = uuid.uuid4().hex[:12]
+
 
 def build_session(app_name: str = "curate", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on and the time zone pinned to UTC.
@@ -60,5 +64,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is ever reused or removed."""
-    return f"{shared_dir(spark)}/curate/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder. Nothing there is used twice, and nothing
+    removed until ``drop_work``, since results may read it."""
+    return f"{shared_dir(spark)}/curate/{name}-{_PROCESS}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Remove what this driver process has written below ``work_path``. Call it when
+    all results that are still wanted are stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    place = path(f"{shared_dir(spark)}/curate")
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(place) if system.exists(place) else ():
+        if f"-{_PROCESS}-" in status.getPath().getName():
+            system.delete(status.getPath(), True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme and host, as Spark itself resolves it: for readers in
+    tasks, which would take a bare path for one on their own disk."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return re.sub("^file:/(?=[^/])", "file:///", full)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curate.fixed_values import LAYERS
@@ -11,6 +12,8 @@ from curate.fixed_values import LAYERS
 # Folders of a log: the day of a run, then the run.
 LOG_DATE = "log_date"
 LOG_RUN = "log_run"
+# Folder of the list of runs that readers may follow.
+PUBLISHED = "published_runs"
 
 
 def _is_path(target: str) -> bool:
@@ -49,6 +52,54 @@ def write_replace(df: DataFrame, target: str) -> None:
         system.delete(path(old), True)
 
 
+def _published(spark: SparkSession, root: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{PUBLISHED}")
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _numbers(system, folder) -> list[int]:
+    if not system.exists(folder):
+        return []
+    names = (status.getPath().getName() for status in system.listStatus(folder))
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def publish_run(spark: SparkSession, root: str, run: str) -> None:
+    """Make ``run`` the one that readers of ``root`` follow.
+
+    Everything the run wrote must be in place. The list gets one small file under
+    the next number, created only if nobody else has taken that number: of two runs
+    that end together both are listed, and readers see either run whole.
+    """
+    folder, system = _published(spark, root)
+    system.mkdirs(folder)
+    number = max(_numbers(system, folder), default=-1) + 1
+    while True:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}")
+        try:
+            out = system.create(place, False)
+        except Py4JJavaError:
+            if not system.exists(place):
+                raise
+            number += 1
+            continue
+        out.write(bytearray(run.encode()))
+        out.close()
+        return
+
+
+def published_runs(spark: SparkSession, root: str) -> list[str]:
+    """The runs published below ``root``, oldest first; a file without its text yet
+    is of a run that is not published yet."""
+    folder, system = _published(spark, root)
+    runs = []
+    for number in _numbers(system, folder):
+        source = system.open(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}"))
+        runs.append(bytes(source.readAllBytes()).decode())
+        source.close()
+    return [run for run in runs if run]
+
+
 def append_log(df: DataFrame, path: str) -> None:
     """Add the rows of a run (``run_id``, ``run_ts``) to a parquet log.
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from curate.fixed_values import MASK_TEXT
 from curate.operators import governance, quality
 from curate.operators.quality import Expectation
+from curate.operators.answers import answer_all
 from curate.plans import medallion
+from curate.plans.question_answering import store_corpus, threshold_for
 from curate.session import work_path
 from curate.sources import csv, tables
 from curate.streaming import ingest
@@ -132,3 +134,72 @@ def test_a_stream_merged_by_bucket_equals_the_batches_read_together(spark):
     one = ingest.merged_records(spark, merged).select(*together.columns)
     assert sorted(map(str, one.collect())) == sorted(map(str, together.collect()))
     assert {r.fileno: r.days_attended for r in one.collect()}["R-0012"] == 7
+
+
+def test_readers_follow_finished_runs_only(spark, sample, monkeypatch):
+    root = work_path(spark, "layers")
+    with pytest.raises(FileNotFoundError):
+        medallion.current_layers(spark, root)
+    first = medallion.build_layers(spark, sample, root, "r 1", datetime(2024, 9, 1))
+    assert medallion.current_layers(spark, root) == first
+
+    def torn(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    # The second run fails after its silver table is written.
+    with monkeypatch.context() as m:
+        m.setattr(medallion, "gold_records", torn)
+        with pytest.raises(RuntimeError, match="lost"):
+            medallion.build_layers(spark, sample.limit(2), root, "r2", datetime(2024, 9, 2))
+    current = medallion.current_layers(spark, root)
+    assert current == first and spark.read.parquet(current.silver).count() == 8
+    third = medallion.build_layers(spark, sample.limit(3), root, "r3", datetime(2024, 9, 3))
+    assert medallion.current_layers(spark, root) == third and spark.read.parquet(third.silver).count() == 3
+    assert medallion.drop_old_runs(spark, root, keep=1) == [first.run]
+    assert medallion.current_layers(spark, root) == third and spark.read.parquet(third.records).count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(first.silver)
+
+
+def test_two_runs_that_end_together_are_both_listed(spark):
+    root = work_path(spark, "runs")
+    medallion._together(spark, *(lambda i=i: tables.publish_run(spark, root, f"run{i}") for i in range(6)))
+    assert sorted(tables.published_runs(spark, root)) == [f"run{i}" for i in range(6)]
+
+
+def test_layers_can_be_read_masked(spark, sample):
+    out = medallion.build_layers(spark, sample, work_path(spark, "layers"), "r", datetime(2024, 9, 1))
+    views = medallion.masked_layers(spark, out, readers(spark))
+    assert len(views) == 3
+    for view in views:
+        assert {r.applicant for r in spark.table(view).collect()} == {MASK_TEXT}
+
+
+def test_threshold_belongs_to_the_encoder(spark, sample):
+    gold = medallion.gold_records(medallion.split(medallion.latest_records(sample))[0])
+    corpus = store_corpus(spark, gold, work_path(spark, "vectors"))
+    known = "attendance record r 0012 growth course at the north branch"
+    rows = [("a", known, 1, True), ("b", "zebra quagga", 1, False)]
+    labelled = spark.createDataFrame(rows, "question_id string, question string, k int, answerable boolean")
+    scores = {r.question_id: r.top_score for r in answer_all(labelled, corpus, threshold=-9.0).collect()}
+    found = threshold_for(labelled, corpus)
+    assert scores["b"] < found < scores["a"] and found == (scores["a"] + scores["b"]) / 2
+    # Overlapping bands leave the default.
+    swapped = labelled.withColumn("answerable", ~F.col("answerable"))
+    assert threshold_for(swapped, corpus, default=0.3) == 0.3
+    assert threshold_for(labelled.where("answerable"), corpus) == 0.49
+
+
+def test_work_folders_go_when_asked(spark, tmp_path, monkeypatch):
+    from curate import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    path = session.work_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and session.qualified(spark, path) == f"file://{path}"
+    session.drop_work(spark)
+    assert list((tmp_path / "curate").iterdir()) == []
+    session.drop_work(spark)
+    (tmp_path / "curate" / "other-driver-1").mkdir()
+    session.drop_work(spark)
+    assert len(list((tmp_path / "curate").iterdir())) == 1
