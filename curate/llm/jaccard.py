@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 
@@ -39,8 +40,10 @@ DEPTH = 4
 # Estimates of the similarity from COORDS coordinates err by 0.05; four times that.
 MARGIN = 0.2
 # A group of the exact comparison has at most two blocks of about so many texts and shingles.
-BLOCK_TEXTS = 2048
-BLOCK_SHINGLES = 1 << 20
+BLOCK_TEXTS = 1024
+BLOCK_SHINGLES = 1 << 19
+# Text whose words and shingles a task holds at once.
+SLICE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(11)
 _FACTORS = _rng.integers(1, 2**63, COORDS, dtype=np.uint64) | np.uint64(1)
@@ -73,7 +76,7 @@ def shingles(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             words, counts, grams, sizes = shingles(part)
             ends = np.cumsum(counts)
             print_ = [hashlib.blake2b(words[e - n : e].tobytes(), digest_size=16).digest() if n else None for e, n in zip(ends, counts)]
@@ -89,6 +92,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([row.tobytes() for row in signature], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "print", "n_shingles", "signature"])
+    # Idle workers stay beside the joins that follow, so they give back what they took.
+    pa.default_memory_pool().release_unused()
 
 
 def _split(choose: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]):
@@ -183,6 +188,7 @@ def _compare(floor: float):
                 yield _edges(pairs)
                 pairs = []
         yield _edges(pairs)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -294,17 +300,19 @@ def _verify(threshold: float):
                 pa.array([names[root[k]] for k in has], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["print", "text_links", "doc_links", "to"])
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             _, _, grams, sizes = shingles(part)
             sets = [np.unique(g).tobytes() for g in np.split(grams, np.cumsum(sizes)[:-1])]
             kept = part.drop_columns(["text"])
             yield kept.append_column("shingles", pa.array(sets, pa.binary()))
+    pa.default_memory_pool().release_unused()
 
 
 def similar(
@@ -380,14 +388,22 @@ def similar(
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each class of similar texts, with all its columns as they are: the
-    one with the least id. Texts without words all stay."""
-    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    found = similar(docs).where("stays")
-    keys = ["__place", "__text_hash"]
-    place = F.xxhash64(F.col("doc_id").cast("long"), F.col("__text_hash"))
-    stay = found.withColumnRenamed("text_hash", "__text_hash").withColumn("__place", place).select(*keys).distinct()
-    rows = docs.withColumn("__text_hash", text_hash).withColumn("__place", place).join(stay, keys)
-    # Rows repeated in full would all match; rows without words stay as they are.
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    return rows.withColumn("__first", first).where((F.col("__first") == 1) | ~worded).select(*docs.columns)
+    one with the least id. Texts without words (null, empty) all stay.
+
+    Of rows repeated in full one stays; of rows that share id and text but differ
+    elsewhere any one. A null id is the last of its class. Columns of any name are
+    kept as they are; an empty table gives no rows.
+    """
+    mark = uuid.uuid4().hex[:8]
+    place, text_hash, first = (f"{name}_{mark}" for name in ("place", "text_hash", "first"))
+    keys = [place, text_hash]
+    found = similar(docs.select("doc_id", "text")).where("stays")
+    placed = F.xxhash64(F.col("doc_id").cast("long"), F.col(text_hash))
+    stay = found.withColumnRenamed("text_hash", text_hash).withColumn(place, placed).select(*keys).distinct()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.withColumn(text_hash, F.xxhash64(text)).withColumn(place, placed).join(stay, keys)
+    # Rows repeated in full would all match. Rows without words are told apart by number.
+    alone = F.when(~text.rlike(WORD), F.monotonically_increasing_id())
+    among = Window.partitionBy(*keys, f"alone_{mark}").orderBy(F.lit(0))
+    numbered = rows.withColumn(f"alone_{mark}", alone).withColumn(first, F.row_number().over(among))
+    return numbered.where(F.col(first) == 1).drop(*keys, f"alone_{mark}", first)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from curate.llm.flat import bytes_of, slices
 
@@ -35,6 +35,8 @@ RATE = 0.01
 # Share of training texts shown as a short excerpt, as short texts are rare.
 EXCERPTS = 0.2
 _AT_ONCE = 512
+# Text that a task scores at once.
+SLICE_BYTES = 2 << 20
 
 
 @dataclass
@@ -211,13 +213,17 @@ def scores(docs: DataFrame, model: Network | float, text_col: str = "text", scor
     """
     if isinstance(model, float):
         return docs.withColumn(score_col, F.lit(model))
-    kept = docs.drop(score_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text_col):
-                data, offsets = bytes_of(part.column(text_col))
-                yield part.append_column(score_col, pa.array(model.score(data, offsets)))
-
-    out = StructType([*kept.schema.fields, StructField(score_col, DoubleType())])
-    return kept.mapInArrow(run, out)
+    @F.arrow_udf(DoubleType())
+    def probability(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            whole = pa.RecordBatch.from_arrays([column], ["text"])
+            found = [np.empty(0)]
+            for part in slices(whole, "text", SLICE_BYTES):
+                found.append(model.score(*bytes_of(part.column("text"))))
+            yield pa.array(np.concatenate(found))
+        # What the batches took is not kept for the worker's next task.
+        pa.default_memory_pool().release_unused()
+
+    # Only texts go to the workers and only numbers come back.
+    return docs.withColumn(score_col, probability(F.coalesce(F.col(text_col), F.lit(""))))
