@@ -36,7 +36,8 @@ BLOCK_BYTES = 8 << 20
 # Blocks' keys that one bucket takes, in bytes of text.
 BUCKET_BYTES = 16 << 20
 K = 20.0
-ORDER = 3
+# Longer n-grams are a parameter; each length adds its keys to the exchange.
+ORDER = 2
 # Kinds of keys are lengths of n-grams.
 WORD = 1
 _END = np.uint64(0xD6E8FEB86659FD93)
