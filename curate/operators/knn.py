@@ -2,10 +2,10 @@
 
 Documents stay where they are. The questions are written once to the shared
 folder as files of bounded size, and every task streams these files past its
-documents, a chunk of bounded size at a time. A chunk and a file are scored as
-one matrix product; at most k hits per question leave a chunk. No pair is ever
-written down, no document is copied, and the plan is the same for ten questions
-and for ten million.
+documents, a chunk of bounded size at a time. A chunk and a block of questions, of
+one file or of several small ones, are scored as matrix products; at most k hits
+per question leave a chunk. No pair is ever written down, no document is copied,
+and the plan is the same for ten questions and for ten million.
 """
 
 from __future__ import annotations
@@ -30,33 +30,51 @@ from curate.session import qualified, work_path
 # not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Scores of a matrix product err by less than this part of the vectors' lengths.
-# What may be among the best by it is scored again with compensated sums, so
-# that ranks follow the scores themselves and equal scores the ids.
-PRODUCT_ERROR = 1e-12
-# Scores held at once per task, and candidates scored again at once.
+# Products are taken in single precision of vectors scaled to a length of 1 at most,
+# and err by less than this for every number of a vector, and a few more for the
+# scaling. What may be among the best by it is scored again with compensated sums,
+# so that ranks follow the scores themselves and equal scores the ids.
+PRODUCT_ERROR = 2.0**-23
+# Scores held at once per task, and numbers of candidates scored again at once.
 _CELLS = 2_000_000
-# Rows of a file of questions, and of a chunk of documents.
+# Rows of a file of questions, and of a block that is scored at once.
 BLOCK_ROWS = 16_384
-# A chunk is also closed when it has so many bytes.
-CHUNK_BYTES = 64 << 20
+# A chunk of documents is closed when it has so many rows or bytes: files of
+# questions are read once for each, so its size does not follow theirs.
+CHUNK_ROWS = 65_536
+CHUNK_BYTES = 32 << 20
 
 LOWEST, HIGHEST = "lowest", "highest"
 # Names that carried columns will not have.
 VALUE, GROUP = "searched_value", "searched_group"
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A column of equally long lists as a matrix, without Python objects."""
+def _matrix(column: pa.Array | pa.ChunkedArray, dtype: str | None = "float64") -> np.ndarray:
+    """A column of equally long lists as a matrix, without Python objects; without a
+    ``dtype`` in single precision where the column is, else in double."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     lengths = pc.unique(pc.list_value_length(column))
     if len(lengths) > 1:
         raise ValueError(f"vectors of different lengths: {lengths.to_pylist()}")
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(dtype or _float_type(column), copy=False)
     return flat.reshape(len(column), -1)
 
 
+def _float_type(column: pa.Array) -> str:
+    return "float32" if pa.types.is_float32(column.type.value_type) else "float64"
+
+
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype="float64"))
+
+
+def _scaled(vectors: np.ndarray, by: np.ndarray | float) -> np.ndarray:
+    """``vectors`` in single precision, divided by lengths; those of none stay zero."""
+    by = np.where(by == 0, 1, by)
+    return (vectors / (by[:, None] if by.ndim else by)).astype("float32")
+
+
 def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of the rows of ``a`` and ``b``. What each addition rounds off
     is added up too; the order is the same for every row, so equal rows tie."""
@@ -77,24 +95,29 @@ def _copy_numbers(vectors: np.ndarray, group: np.ndarray) -> np.ndarray:
     Rows are told apart by a hash, and those that differ from the first row of
     their hash count as unlike any other.
     """
-    bits = np.ascontiguousarray(vectors).view(np.uint64)
+    bits = np.ascontiguousarray(vectors).view(f"u{vectors.dtype.itemsize}")
     factors = np.random.default_rng(1).integers(1, 2**63, bits.shape[1], dtype=np.uint64) | np.uint64(1)
-    hashes = (bits * factors).sum(1, dtype=np.uint64) + group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    hashes = group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    step = max(1, _CELLS // max(1, bits.shape[1]))
+    for at in range(0, len(bits), step):
+        hashes[at : at + step] += (bits[at : at + step] * factors).sum(1, dtype=np.uint64)
     _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
     order = np.argsort(of, kind="stable")
     starts = np.flatnonzero(np.append(True, np.diff(of[order]) > 0)[: len(order)])
     number = np.empty(len(of), np.int64)
     number[order] = np.arange(len(of)) - np.repeat(starts, np.diff(np.append(starts, len(of))))
     repeated = np.flatnonzero(number > 0)
-    lead = first[of[repeated]]
-    unlike = (vectors[repeated] != vectors[lead]).any(1) | (group[repeated] != group[lead])
-    number[repeated[unlike]] = 0
+    for at in range(0, len(repeated), step):
+        part = repeated[at : at + step]
+        lead = first[of[part]]
+        unlike = (vectors[part] != vectors[lead]).any(1) | (group[part] != group[lead])
+        number[part[unlike]] = 0
     return number
 
 
 @dataclass
 class _Questions:
-    """A file of questions. ``end`` is -1, 1 or 0: the search is among the documents
+    """A block of questions. ``end`` is -1, 1 or 0: the search is among the documents
     of the lowest value, of the highest, or among all."""
 
     table: pa.Table
@@ -108,7 +131,33 @@ class _Questions:
         self.ks = self.table.column("k").to_numpy()
         self.end = self.table.column("end").to_numpy()
         self.floor = self.table.column("floor").to_numpy().copy()
-        self.error = PRODUCT_ERROR * np.sqrt((self.vectors * self.vectors).sum(1))
+        self.length = _lengths(self.vectors)
+        self.support = self._support()
+
+    def _support(self) -> np.ndarray | None:
+        """Where each question's vector is not zero, in order, filled up with places
+        of zeros; None unless that is a small part of every vector. The other places
+        add nothing to a score, and nothing to what its sum rounds off."""
+        filled = self.vectors != 0
+        most = int(filled.sum(1).max(initial=0))
+        if 4 * most > filled.shape[1]:
+            return None
+        return np.sort(np.argsort(~filled, axis=1, kind="stable")[:, :most], axis=1)
+
+    def scores(self, vectors: np.ndarray, row: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Exactly rounded scores of the documents ``row`` for the questions ``which``."""
+        out = np.empty(len(row))
+        width = vectors.shape[1] if self.support is None else self.support.shape[1]
+        again = max(1, _CELLS // max(1, width))
+        for at in range(0, len(row), again):
+            r, q = row[at : at + again], which[at : at + again]
+            if self.support is None:
+                out[at : at + again] = _dots(vectors[r].astype("float64", copy=False), self.vectors[q])
+            else:
+                place = self.support[q]
+                held = vectors[r[:, None], place].astype("float64", copy=False)
+                out[at : at + again] = _dots(held, self.vectors[q[:, None], place])
+        return out
 
     def allowed(self, groups: pa.Array) -> np.ndarray | None:
         """Which question may see which group; None where all see all."""
@@ -131,7 +180,8 @@ class _Chunk:
     def __init__(self, table: pa.Table):
         table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending")], null_placement="at_start"))
         self.table = table.combine_chunks()
-        self.vectors = _matrix(table.column("vec"))
+        self.vectors = _matrix(self.table.column("vec"), None)
+        self.longest = float(_lengths(self.vectors).max(initial=0))
         if GROUP in table.column_names:
             coded = table.column(GROUP).combine_chunks().dictionary_encode(null_encoding="encode")
             self.groups, self.group = coded.dictionary, coded.indices.to_numpy()
@@ -163,49 +213,58 @@ class _Chunk:
         # Within a subset copies count anew.
         copy = self.copy if rows is None else _copy_numbers(self.vectors[rows], self.group[rows])
         rows = np.arange(len(self.copy)) if rows is None else rows
-        ks, questions = asked.ks[which], asked.vectors[which]
+        ks = asked.ks[which]
         everywhere = asked.end[which[0]] == 0
         rows = rows[copy < ks.max()]
         floor = asked.floor[which].copy() if everywhere else np.full(len(which), -np.inf)
         allowed = asked.allowed(self.groups)
+        questions = _scaled(asked.vectors[which], asked.length[which])
         step = max(1, _CELLS // len(which))
         for at in range(0, len(rows), step):
-            hits, floor = self._slice(rows[at : at + step], which, questions, ks, asked.error[which], floor, allowed, hits)
+            hits = self._slice(rows[at : at + step], asked, which, questions, ks, floor, allowed, hits)
         if everywhere:
             asked.floor[which] = floor
         return which[hits[0]], hits[1], hits[2]
 
-    def _slice(self, rows, which, questions, ks, error, floor, allowed, hits):
+    def _slice(self, rows, asked, which, questions, ks, floor, allowed, hits):
+        """``hits`` with those of ``rows``; raises ``floor`` to the k-th best so far."""
         vectors = self.vectors[rows]
-        rough = vectors @ questions.T
+        rough = _scaled(vectors, np.float64(self.longest)) @ questions.T
         seen = None if allowed is None else allowed[self.group[rows]][:, which]
         if seen is not None:
             rough[~seen] = -np.inf
-        error = error * np.sqrt((vectors * vectors).sum(1).max(initial=0))
+        error = PRODUCT_ERROR * (vectors.shape[1] + 8)
+        scale = self.longest * asked.length[which]
         # Below the k-th best of what was seen, or of this slice, nothing counts.
-        least = floor.copy()
+        least = floor / np.where(scale == 0, 1, scale) - error
         for k in np.unique(ks):
-            if k <= len(rows):
-                own = ks == k
-                kth = np.partition(rough[:, own], len(rows) - k, axis=0)[len(rows) - k]
-                least[own] = np.maximum(least[own], kth - error[own])
-        near = rough >= least - error
-        row, q = np.nonzero(near if seen is None else near & seen)
-        score = np.empty(len(row))
-        again = max(1, _CELLS // max(1, vectors.shape[1]))
-        for at in range(0, len(row), again):
-            part = slice(at, at + again)
-            score[part] = _dots(vectors[row[part]], questions[q[part]])
-        q, doc, score = (np.concatenate(p) for p in zip(hits, (q, rows[row], score)))
+            own = np.flatnonzero((ks == k) & np.isneginf(floor))
+            if len(own) and k <= len(rows):
+                kth = np.partition(np.ascontiguousarray(rough[:, own].T), len(rows) - k, axis=1)[:, len(rows) - k]
+                least[own] = kth - 2 * error
+        # A question or documents of length 0 score 0 under anything.
+        least[scale == 0] = -np.inf
+        near = rough >= np.nextafter(least.astype("float32"), np.float32(-np.inf))
+        if seen is not None:
+            near &= seen
+        row, q = np.divmod(np.flatnonzero(near), len(which))
+        if not len(row):
+            return hits
+        score = asked.scores(vectors, row, which[q])
+        touched = np.zeros(len(which), bool)
+        touched[q] = True
+        # Only questions with something new are ranked again.
+        again = touched[hits[0]]
+        rest = tuple(h[~again] for h in hits)
+        q, doc, score = (np.concatenate(p) for p in zip((h[again] for h in hits), (q, rows[row], score)))
         order = np.lexsort((doc, -score, q))
         q, doc, score = q[order], doc[order], score[order]
         starts = np.searchsorted(q, np.arange(len(ks)))
         place = np.arange(len(q)) - starts[q]
         full = np.flatnonzero(np.bincount(q, minlength=len(ks)) >= ks)
-        floor = floor.copy()
         floor[full] = np.maximum(floor[full], score[starts[full] + ks[full] - 1])
         kept = place < ks[q]
-        return (q[kept], doc[kept], score[kept]), floor
+        return tuple(np.concatenate(p) for p in zip(rest, (q[kept], doc[kept], score[kept])))
 
 
 def _files(folder: str) -> tuple[pyarrow.fs.FileSystem, list[str]]:
@@ -214,21 +273,31 @@ def _files(folder: str) -> tuple[pyarrow.fs.FileSystem, list[str]]:
     return system, sorted(f.path for f in found if f.path.endswith(".parquet"))
 
 
-def _read(system: pyarrow.fs.FileSystem, path: str) -> Iterator[_Questions]:
-    with system.open_input_file(path) as source:
-        for batch in pyarrow.parquet.ParquetFile(source).iter_batches(BLOCK_ROWS):
-            if batch.num_rows:
-                yield _Questions(pa.Table.from_batches([batch]))
+def _batches(system: pyarrow.fs.FileSystem, paths: list[str]) -> Iterator[pa.RecordBatch]:
+    for path in paths:
+        with system.open_input_file(path) as source:
+            yield from pyarrow.parquet.ParquetFile(source).iter_batches(BLOCK_ROWS)
+
+
+def _read(system: pyarrow.fs.FileSystem, paths: list[str]) -> Iterator[_Questions]:
+    """Blocks of the files' questions, always the same ones for the same files."""
+    yield from map(_Questions, _gathered(_batches(system, paths), BLOCK_ROWS, CHUNK_BYTES))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[pa.Table]:
+    """Tables of at most ``rows`` rows and about ``size`` bytes."""
     held: list[pa.RecordBatch] = []
+    n = taken = 0
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            held.append(batch.slice(at, rows))
-            if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= CHUNK_BYTES:
+        each = max(1, batch.nbytes // max(1, batch.num_rows))
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, max(1, min(rows - n, (size - taken) // each)))
+            held.append(part)
+            at, n, taken = at + part.num_rows, n + part.num_rows, taken + part.num_rows * each
+            if n >= rows or taken + each > size:
                 yield pa.Table.from_batches(held)
-                held = []
+                held, n, taken = [], 0, 0
     if held:
         yield pa.Table.from_batches(held)
 
@@ -270,7 +339,7 @@ def write_questions(questions: DataFrame, k: int, block_rows: int) -> tuple[str,
 
 
 def scan(
-    docs: DataFrame, folder: str, question_type: T.DataType, carry: list[str], block_rows: int, by_cell: bool = False
+    docs: DataFrame, folder: str, question_type: T.DataType, carry: list[str], by_cell: bool = False
 ) -> DataFrame:
     """Hits of every chunk of ``docs``: question_id, doc_id, score, k, edge and the
     columns to ``carry``. With ``by_cell`` the questions of a document's cell are
@@ -281,19 +350,21 @@ def scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
-        floors: dict[tuple[str, int], np.ndarray] = {}
-        for table in _chunks(batches, block_rows):
+        floors: dict[tuple[int | None, int], np.ndarray] = {}
+        for table in _gathered(batches, CHUNK_ROWS, CHUNK_BYTES):
             cells = pc.unique(table.column("cell")).to_pylist() if by_cell else [None]
+            # Cells come in order, so those of earlier chunks are done with.
+            floors = {at: floor for at, floor in floors.items() if at[0] in cells}
             for cell in cells:
                 own = table if cell is None else table.filter(pc.equal(table.column("cell"), cell))
                 system, files = _files(folder if cell is None else f"{folder}/cell={cell}")
                 chunk = _Chunk(own) if files else None
-                for path in files:
-                    for i, asked in enumerate(_read(system, path)):
-                        # What earlier chunks of the task found rules out more.
-                        asked.floor = np.maximum(asked.floor, floors.get((path, i), asked.floor))
-                        yield from _hits(chunk, asked, out).to_batches()
-                        floors[path, i] = asked.floor
+                for i, asked in enumerate(_read(system, files)):
+                    # What earlier chunks of the task found rules out more.
+                    asked.floor = np.maximum(asked.floor, floors.get((cell, i), asked.floor))
+                    yield from _hits(chunk, asked, out).to_batches()
+                    floors[cell, i] = asked.floor
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 
@@ -336,7 +407,7 @@ def knn_join(
     if "groups" in questions.columns and group is None:
         raise ValueError("questions have groups, so name the documents' column")
     folder, kind, most = write_questions(questions.drop("end", "floor", "cell"), k, block_rows)
-    found = scan(searched(docs, list(carry), None, group), folder, kind, list(carry), block_rows)
+    found = scan(searched(docs, list(carry), None, group), folder, kind, list(carry))
     return ranked(found, most).select("question_id", "doc_id", "score", "rank", *carry)
 
 
@@ -356,7 +427,7 @@ def knn_and_extremes(
     both = both.withColumn("k", F.when(F.col("end") == 0, F.col("k")).otherwise(1))
     folder, kind, most = write_questions(both, DEFAULT_K, block_rows)
     columns = [c for c in carry]
-    found = scan(searched(docs, columns, value, None), folder, kind, columns, block_rows)
+    found = scan(searched(docs, columns, value, None), folder, kind, columns)
     return ranked(found, most).select(
         "question_id", "doc_id", "score", "rank", F.col("edge").isNotNull().alias("extreme"), *carry
     )

@@ -202,7 +202,7 @@ def search_index(
         most = max(most, largest)
         among = searched(docs.where(F.col("cell").isin(cells)), ["cell"], None, group)
         path = work_path(spark, "hits")
-        best = ranked(scan(among, folder, kind, [], block_rows, by_cell=True), most).drop("rank")
+        best = ranked(scan(among, folder, kind, [], by_cell=True), most).drop("rank")
         best.write.parquet(path)
         hits = spark.read.schema(best.schema).parquet(path)
         hit_paths.append(hits)

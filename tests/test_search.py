@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +208,50 @@ def test_bounds_hold_for_every_document(spark):
     place = {c: i for i, c in enumerate(index.cells["cell"].tolist())}
     for r in index.documents(spark).collect():
         assert (asked @ np.array(r.vec) <= bound[:, place[r.cell]]).all()
+
+
+def test_small_files_of_questions_are_scored_together(spark, monkeypatch):
+    q, d, asked, docs = frames(spark, n_questions=40)
+    opened = []
+    folder, _, _ = knn.write_questions(q, 3, 1)
+    system, files = knn._files(folder)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 16)
+    assert len(files) == 40 and [len(block.ks) for block in knn._read(system, files)] == [16, 16, 8]
+    assert len({opened_id for block in knn._read(system, files) for opened_id in block.table.column("question_id").to_pylist()}) == 40
+    monkeypatch.undo()
+    # The size of the files does not cut the documents into more chunks.
+    chunks = list(knn._gathered(d.coalesce(1).toArrow().to_batches(max_chunksize=7), knn.CHUNK_ROWS, knn.CHUNK_BYTES))
+    assert [len(c) for c in chunks] == [900]
+    assert got(knn_join(q, d, 3, block_rows=1)) == brute_force(asked, docs, 3)
+
+
+@pytest.mark.parametrize("k", [1, 3, 350])
+def test_many_chunks_of_documents(spark, monkeypatch, k):
+    q, d, asked, docs = frames(spark)
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 50)
+    assert got(knn_join(q, d, k, block_rows=5)) == brute_force(asked, docs, k)
+
+
+@pytest.mark.parametrize("scale", [1e-30, 1e30])
+def test_scores_beyond_single_precision_rank_as_they_are(spark, scale):
+    docs = vectors(200).astype("float64") * scale
+    docs[3] *= 1e-20
+    docs[50:60] = docs[50] + np.arange(10)[:, None] * scale * 1e-13
+    asked = np.concatenate([vectors(5, seed=2).astype("float64"), docs[50:51], np.zeros((1, 8))])
+    d = spark.createDataFrame([(f"d{i:04}", v.tolist()) for i, v in enumerate(docs)], "doc_id string, vec array<double>")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "question_id int, vec array<double>")
+    for k in (3, 12):
+        assert got(knn_join(q, d, k)) == brute_force(asked, docs, k)
+
+
+def test_sparse_questions_score_as_whole_ones():
+    rng = np.random.default_rng(4)
+    docs = rng.normal(size=(50, 64)).astype("float32")
+    asked = np.zeros((6, 64))
+    for i in range(5):
+        asked[i, rng.integers(0, 64, i + 1)] = rng.normal(size=i + 1)
+    table = pa.table({"vec": pa.array(asked.tolist()), "k": [1] * 6, "end": [0] * 6, "floor": [0.0] * 6})
+    block = knn._Questions(table)
+    assert block.support.shape[1] <= 5
+    row, which = np.divmod(np.arange(300), 6)
+    assert (block.scores(docs, row, which) == knn._dots(docs[row].astype("float64"), asked[which])).all()
