@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from curate.session import work_path
 
@@ -21,6 +21,9 @@ ADAPTIVE_SETTINGS = (
 # Ranks of keys are taken from about so many sampled rows; they decide where rows
 # lie, not what is written.
 SAMPLE_ROWS = 20_000
+# Rows that one task puts in order take about so much of its memory. Files that would
+# need more are written as several: how far a file's bytes unfold is not known before.
+SORT_BYTES = 1 << 30
 JOURNAL = "_compaction.json"
 
 
@@ -34,10 +37,23 @@ def _rank(column: Column, bounds: list) -> Column:
     return F.when(column >= F.lit(bounds[middle]), above).otherwise(_rank(column, bounds[:middle]))
 
 
-def space_filling_order(df: DataFrame, keys: Sequence[str], bits: int = 6) -> Column:
+def sort_rows(df: DataFrame, count: int) -> int:
+    """How many of the ``count`` rows of ``df`` one task may sort: a fixed part for each
+    column, and the length of values without a fixed width by a sample."""
+    free = [f.name for f in df.schema if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    plain = [F.col(f"`{n}`") if isinstance(df.schema[n].dataType, (T.StringType, T.BinaryType)) else F.to_json(F.array(F.col(f"`{n}`"))) for n in free]
+    taken = 0
+    if free:
+        sizes = df.select([F.coalesce(F.octet_length(c), F.lit(0)).alias(f"c{i}") for i, c in enumerate(plain)])
+        sizes = sizes.sample(min(1.0, SAMPLE_ROWS / max(1, count)), seed=1)
+        taken = sizes.agg(F.avg(reduce(lambda a, b: a + b, (F.col(c) for c in sizes.columns)))).first()[0] or 0
+    return max(1, int(SORT_BYTES / (32 + 16 * len(df.columns) + taken)))
+
+
+def space_filling_order(df: DataFrame, keys: Sequence[str], bits: int = 6, count: int | None = None) -> Column:
     """A number that keeps rows near in every key together: the ranks of the keys
     among ``2 ** bits`` quantiles, their bits interleaved."""
-    share = min(1.0, SAMPLE_ROWS / max(1, df.count()))
+    share = min(1.0, SAMPLE_ROWS / max(1, df.count() if count is None else count))
     sampled = df.select(*keys).sample(share, seed=1).toPandas()
     order = F.lit(0).cast("long")
     for i, key in enumerate(keys):
@@ -49,13 +65,13 @@ def space_filling_order(df: DataFrame, keys: Sequence[str], bits: int = 6) -> Co
     return order
 
 
-def _clustered(rows: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
+def _clustered(rows: DataFrame, keys: Sequence[str], files: int, count: int) -> DataFrame:
     """``rows`` dealt to ``files`` ranges of the space-filling order. A hash of the
     whole row ends the range key: one that a third of the rows share is spread over
     several files."""
     place = f"order_{uuid.uuid4().hex[:8]}"
     spread = F.xxhash64(*rows.columns)
-    placed = rows.withColumn(place, space_filling_order(rows, keys))
+    placed = rows.withColumn(place, space_filling_order(rows, keys, count=count))
     return placed.repartitionByRange(files, place, spread).sortWithinPartitions(place, *keys).drop(place)
 
 
@@ -66,15 +82,18 @@ def write_clustered(
     one of them skips files by their statistics; returns the number of files.
 
     ``df`` is written once to the shared folder as it comes. Its size there gives
-    the number of files, about ``target_mb`` each, and ranks, ranges and rows are
-    then read from it instead of being computed three times.
+    the number of files, about ``target_mb`` each or less where their rows would
+    take more than ``SORT_BYTES`` to sort, and ranks, ranges and rows are then read
+    from it instead of being computed three times.
     """
     spark = df.sparkSession
     staged = work_path(spark, "unclustered")
     df.write.parquet(staged)
-    files = files or max(1, ceil(folder_bytes(spark, staged) / (target_mb * (1 << 20))))
     rows = spark.read.schema(df.schema).parquet(staged)
-    _clustered(rows, keys, files).write.mode("overwrite").parquet(path)
+    count = rows.count()
+    by_bytes = ceil(folder_bytes(spark, staged) / (target_mb * (1 << 20)))
+    files = files or max(1, by_bytes, ceil(count / sort_rows(rows, count)))
+    _clustered(rows, keys, files, count).write.mode("overwrite").parquet(path)
     return files
 
 
@@ -142,7 +161,8 @@ def pack(spark: SparkSession, path: str, target_mb: float = 512, keys: Sequence[
     Files of the target's size and more stay byte for byte, partition folders stay
     what they are, and a small file without another to join stays too. Rows of one
     bin are put in order of ``keys`` where given, which narrows the statistics
-    within the merged file.
+    within the merged file. A bin whose rows would take more than ``SORT_BYTES`` to
+    sort becomes several files, ranges of the keys.
 
     New files are written to a hidden folder, then a journal is stored, then they
     take the old ones' place. Between the last two steps readers may meet rows
@@ -167,16 +187,32 @@ def pack(spark: SparkSession, path: str, target_mb: float = 512, keys: Sequence[
     rows = spark.read.option("recursiveFileLookup", True).parquet(*[p for paths in of_bin.values() for p in paths])
     columns = rows.columns
     file, bin_ = f"file_{mark}", f"bin_{mark}"
-    rows = rows.withColumn(file, _plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))))
-    binned = rows.join(named.withColumnsRenamed({"path": file, "bin": bin_}), file).select(*columns, bin_)
-    ordered = binned.repartitionByRange(len(of_bin), bin_).sortWithinPartitions(bin_, *keys)
+    rows = rows.withColumn(file, F.col("_metadata.file_path"))
+    plain = _plain(F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B"))))
+    per_file = rows.groupBy(file).count().withColumn("path", plain).join(F.broadcast(named), "path").select(file, "bin", "count").collect()
+    counts: dict[int, int] = {}
+    for row in per_file:
+        counts[row["bin"]] = counts.get(row["bin"], 0) + row["count"]
+    # The driver has the names, so each task may; rows need no shuffle to meet them.
+    of_file = spark.createDataFrame([(row[file], row["bin"]) for row in per_file], f"{file} string, {bin_} int")
+    binned = rows.join(F.broadcast(of_file), file).select(*columns, bin_)
+    limit = sort_rows(rows.select(*columns), sum(counts.values()))
+    tasks = sum(ceil(n / limit) for n in counts.values())
+    if tasks > len(counts):
+        # A hash of the row deals out keys that many rows share.
+        ordered = binned.repartitionByRange(tasks, bin_, *keys, F.xxhash64(*columns))
+    else:
+        ordered = binned.repartitionById(len(of_bin), bin_)
+    ordered = ordered.sortWithinPartitions(bin_, *keys)
     ordered.write.partitionBy(bin_).parquet(hidden)
     moves = []
     system = _filesystem(spark, path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     for i, (folder, _) in enumerate(of_bin):
-        for status in system.listStatus(jpath(f"{hidden}/{bin_}={i}")):
-            moves.append((status.getPath().toString(), f"{folder}/{status.getPath().getName()}"))
+        place = jpath(f"{hidden}/{bin_}={i}")
+        for status in system.listStatus(place) if system.exists(place) else ():
+            # A task may have written rows of two bins, to files of the same name.
+            moves.append((status.getPath().toString(), f"{folder}/bin-{i:05d}-{status.getPath().getName()}"))
     journal = {"root": root, "hidden": hidden, "moves": moves, "old": [p for paths in of_bin.values() for p in paths]}
     _store(spark, f"{path.rstrip('/')}/{JOURNAL}", json.dumps(journal))
     finish_compaction(spark, path)

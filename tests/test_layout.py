@@ -115,3 +115,37 @@ def test_bins(spark, lengths, expected):
     files = spark.createDataFrame([(f"file:/t/p=1/{i:02}.parquet", n) for i, n in enumerate(lengths)], "path string, length long")
     found = [r.bin for r in layout.bins(files, 50).collect()]
     assert sorted(found.count(b) for b in set(found)) == sorted(expected.values())
+
+
+def test_files_hold_what_one_task_can_sort(spark, monkeypatch):
+    df = spark.range(40_000).select("id", F.lit("same").alias("k"), F.array(F.lit("x" * 50)).alias("pad"))
+    monkeypatch.setattr(layout, "SORT_BYTES", 1 << 20)
+    limit = layout.sort_rows(df, 40_000)
+    assert (1 << 20) / 250 < limit < (1 << 20) / 100
+    path = work_path(spark, "c")
+    files = layout.write_clustered(df, path, ("k",))
+    held = [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()]
+    assert files == -(-40_000 // limit) and len(held) == files and max(held) < 2 * limit
+    assert rows(spark, path) == sorted(map(str, df.collect()))
+
+
+def test_bins_too_large_to_sort_become_several_files(spark, monkeypatch):
+    path, df = small_and_large(spark)
+    expected, before = rows(spark, path), files_of(path)
+    monkeypatch.setattr(layout, "SORT_BYTES", 100_000)
+    layout.pack(spark, path, target_mb=0.3, keys=("id",))
+    merged = [p for p in files_of(path) if p not in before]
+    held = [[r.id for r in spark.read.parquet(f"{path}/{p}").collect()] for p in merged]
+    assert rows(spark, path) == expected and all(ids == sorted(ids) for ids in held)
+    assert sum(map(len, held)) == 10_000 and max(map(len, held)) <= 2 * 100_000 / (32 + 16 * 2 + 64)
+
+
+def test_packing_does_not_shuffle_rows_to_their_names(spark, monkeypatch):
+    """Rows of one file would all go to one task."""
+    path, _ = small_and_large(spark)
+    joined = []
+    plain_join = type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, *a, **k: joined.append(plain_join(self, *a, **k)) or joined[-1])
+    layout.pack(spark, path, target_mb=0.3)
+    monkeypatch.undo()
+    assert joined and "BroadcastHashJoin" in joined[0]._jdf.queryExecution().sparkPlan().toString()
