@@ -27,6 +27,8 @@ from curate.streaming import ingest
 RUN_ID = "run-1"
 RUN_TS = datetime(2024, 9, 1, 12, 0, 0)
 DATASET = "silver.training"
+# Rows of a file of ``compact_packed`` before it is packed.
+BULK_ROWS = 4_000_000
 
 QUERIES = {}
 
@@ -702,11 +704,15 @@ def compact(spark, sf):
 
 @query
 def compact_packed(spark, sf):
-    """Folders of one file of fair size and many small ones, packed where they lie."""
+    """Folders of files of fair size, one where rows are few, and many small ones,
+    packed where they lie."""
     path = work_path(spark, "packed")
     rows = table(spark, sf, "lineitem")
     bulk = F.col("l_orderkey") % 4 > 0
-    rows.where(bulk).repartition(1, "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    # No file, and no task, has more than some millions of rows.
+    parts = 1 + rows.count() // BULK_ROWS
+    part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(parts))
+    rows.where(bulk).repartition(parts, "l_returnflag", part).write.partitionBy("l_returnflag").parquet(path)
     rows.where(~bulk).repartition(24).write.mode("append").partitionBy("l_returnflag").parquet(path)
     layout.pack(spark, path, keys=("l_shipdate",))
     return spark.read.schema(rows.schema).parquet(path)
