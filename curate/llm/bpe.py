@@ -15,9 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from curate.llm.flat import slices
-from curate.llm.pretoken import TextEncoder, Vocabulary, byte_letters
+from curate.llm.pretoken import TextEncoder, Vocabulary, byte_letters, token_names
 
 NO_RANK = np.iinfo(np.int64).max
+# Text that a task encodes at once, and ids that it decodes at once: a task of
+# ``encode`` and ``decode`` has two workers, and both stay between tasks.
+SLICE_BYTES = 2 << 20
+DECODED_AT_ONCE = 1 << 18
 
 
 class MergeTable:
@@ -82,17 +86,29 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         vocabulary = Vocabulary.read(path)
         encoder = TextEncoder(vocabulary, MergeTable(vocabulary).encode_words)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, counts = encoder(part.column("text").to_pylist())
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "ids"])
+        # What the batches took is not kept for the worker's next task.
+        pa.default_memory_pool().release_unused()
 
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
+def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows that have about ``DECODED_AT_ONCE`` ids each."""
+    sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    block = np.cumsum(sizes, dtype=np.int64) // DECODED_AT_ONCE
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(id, ids, decoded)``: the tokens of each list, one space between them.
 
@@ -101,19 +117,17 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary.read(path)
-        names = {i: t for t, i in [*vocabulary.ids.items(), *vocabulary.special.items()]}
+        names = token_names(path)
         for batch in batches:
-            lists = batch.column("ids")
-            step = max(1, batch.num_rows * (1 << 20) // max(1, len(lists.values)))
-            for lo in range(0, batch.num_rows, step):
-                part = batch.slice(lo, step)
+            # A row may be long, so slices are cut by ids, not by rows.
+            for part in _id_slices(batch):
                 texts = [
                     " ".join([names[i] for i in ids or () if i in names]) for ids in part.column("ids").to_pylist()
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("ids"), pa.array(texts, pa.string())], ["id", "ids", "decoded"]
                 )
+        pa.default_memory_pool().release_unused()
 
     source = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kind = source.schema["id"].dataType.simpleString()

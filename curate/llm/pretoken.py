@@ -135,6 +135,15 @@ class Vocabulary:
         )
 
 
+def token_names(path: str) -> dict[int, str]:
+    """The token of each id, special ones too; the merges are not kept."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    names = {i: t for t, i in spec["model"]["vocab"].items()}
+    names.update((t["id"], t["content"]) for t in spec["added_tokens"])
+    return names
+
+
 class TextEncoder:
     """Ids of whole texts. ``encode_words`` gives the ids of distinct words, in a
     row, and how many each has; words met before come from a bounded cache."""

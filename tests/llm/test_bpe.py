@@ -63,3 +63,20 @@ def test_frames(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(bpe.decode(bpe.encode(docs, PATH), PATH)).collect() == []
+
+
+def test_decoding_needs_no_encoder(spark, monkeypatch):
+    """Its worker keeps the tokens only, and works on a bounded number of ids."""
+    docs = spark.createDataFrame([(i, "word and other " * n) for i, n in enumerate((0, 1, 400, 3, 0, 90, 2))], "doc_id long, text string")
+    encoded = bpe.encode(docs, PATH)
+    batch = encoded.toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(bpe, "DECODED_AT_ONCE", 100)
+    sizes = [len(part.column("ids").flatten()) for part in bpe._id_slices(batch)]
+    assert sum(sizes) == 3 * 496 and len(sizes) == 3 and sum(p.num_rows for p in bpe._id_slices(batch)) == 7
+
+    def no_encoder(path):
+        raise AssertionError("the encoder's tables are not for decoding")
+
+    monkeypatch.setattr(Vocabulary, "read", no_encoder)
+    library = Tokenizer.from_file(PATH)
+    assert bpe.token_names(PATH) == {i: t for t, i in library.get_vocab(with_added_tokens=True).items()}
