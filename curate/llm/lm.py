@@ -32,7 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from curate.llm.flat import mix, slices, word_hashes
 from curate.session import work_path
 
-BLOCK_BYTES = 8 << 20
+# Text of a block. Its tokens and n-grams take a task about 25 times as much, beside
+# what the executor keeps for its shuffles.
+BLOCK_BYTES = 4 << 20
 # Blocks' keys that one bucket takes, in bytes of text.
 BUCKET_BYTES = 16 << 20
 K = 20.0
@@ -74,9 +76,10 @@ class _Block:
 
     def close(self, order: int) -> None:
         flat = np.concatenate(self.tokens)
+        self.tokens = []
         self.per_text = np.concatenate(self.sizes)
         self.trained = np.repeat(np.concatenate(self.train), self.per_text)
-        self.text = np.repeat(np.arange(len(self.per_text)), self.per_text)
+        self.text = np.repeat(np.arange(len(self.per_text), dtype=np.int32), self.per_text)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(self.per_text) - self.per_text, self.per_text)
         # Of each length: where n-grams of one text end, the distinct ones, which one each is.
         self.ends: list[np.ndarray] = []
@@ -86,7 +89,7 @@ class _Block:
         for n in range(1, order + 1):
             if n > 1:
                 gram = np.concatenate((gram[:1], mix(gram[:-1] * _PREVIOUS + last[1:])))
-            ends = np.flatnonzero(place >= n - 1)
+            ends = np.flatnonzero(place >= n - 1).astype(np.int32)
             keys, which = np.unique(gram[ends], return_inverse=True)
             self.ends.append(ends)
             self.keys.append(keys)
@@ -141,6 +144,8 @@ def _gather(buckets: int, order: int):
             block.add(part)
         if block is not None:
             yield from rows(number, block)
+        del block
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -176,6 +181,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(_values(row["counts"], np.uint32))
     if blocks:
         yield rows(*key, blocks, keys, counts)
+    del blocks, keys, counts
+    pa.default_memory_pool().release_unused()
 
 
 class Automaton:
@@ -238,6 +245,8 @@ def _score(tokens: int, distinct: int, k: float, order: int):
                 block.add(part.filter(pa.array(is_text)))
         if block is not None:
             yield from rows(block, totals)
+        del block, totals
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -5,7 +5,10 @@ import math
 import random
 import re
 import string
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +101,20 @@ def test_a_longer_order_fits_what_it_has_seen(spark):
 
 def test_empty_table(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string"), F.lit(True)).collect() == []
+
+
+def test_a_full_block_takes_little_beside_the_shuffles():
+    rng = np.random.default_rng(3)
+    words = np.array([f"word{i}" for i in range(40_000)])
+    texts = [" ".join(words[rng.zipf(1.3, 400) % len(words)]) for _ in range(lm.BLOCK_BYTES // 2800)]
+    rows = pa.RecordBatch.from_pydict({"id": range(len(texts)), "text": texts, "train": [True] * len(texts)})
+    block = lm._Block()
+    tracemalloc.start()
+    try:
+        block.add(rows)
+        block.close(lm.ORDER)
+        counts = [c for _, _, c in block.counted()]
+        lm.Automaton(counts, 10**6, 10**5, lm.K).walk(block)
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()
