@@ -43,7 +43,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text, one row per row; null and
     empty texts have no tokens."""
-    return bpe.digests(bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY))
+    return bpe.digests(bpe.round_trip(docs, VOCABULARY))
 
 
 STAGES = [

@@ -18,8 +18,7 @@ from curate.llm.flat import slices
 from curate.llm.pretoken import TextEncoder, Vocabulary, byte_letters, token_names
 
 NO_RANK = np.iinfo(np.int64).max
-# Text that a task encodes at once, and ids that it decodes at once: a task of
-# ``encode`` and ``decode`` has two workers, and both stay between tasks.
+# Text that a task encodes at once, and ids that it decodes at once.
 SLICE_BYTES = 2 << 20
 DECODED_AT_ONCE = 1 << 18
 
@@ -75,16 +74,11 @@ class MergeTable:
         return symbols[order].astype(np.int32), np.bincount(word, minlength=len(words)).astype(np.int64)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids array<int>)`` of every whole text under the vocabulary at ``path``.
-
-    Null and empty texts have no ids. Rows are independent: repeated rows give
-    repeated results, other columns are left out.
-    """
-
+def _encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.read(path)
         encoder = TextEncoder(vocabulary, MergeTable(vocabulary).encode_words)
+        del vocabulary
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 ids, counts = encoder(part.column("text").to_pylist())
@@ -94,9 +88,23 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         # What the batches took is not kept for the worker's next task.
         pa.default_memory_pool().release_unused()
 
+    return run
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return source, source.schema["id"].dataType.simpleString()
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, ids array<int>)`` of every whole text under the vocabulary at ``path``.
+
+    Null and empty texts have no ids. Rows are independent: repeated rows give
+    repeated results, other columns are left out.
+    """
+
+    source, kind = _texts(docs, id_col, text_col)
+    return source.mapInArrow(_encoding(path), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -109,13 +117,7 @@ def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(lo, hi - lo)
 
 
-def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``(id, ids, decoded)``: the tokens of each list, one space between them.
-
-    The vocabulary names no decoder, so tokens are joined as they are, special
-    ones too; ids it lacks are passed over. Null lists decode to empty text.
-    """
-
+def _decoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = token_names(path)
         for batch in batches:
@@ -129,8 +131,30 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 )
         pa.default_memory_pool().release_unused()
 
+    return run
+
+
+def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """``(id, ids, decoded)``: the tokens of each list, one space between them.
+
+    The vocabulary names no decoder, so tokens are joined as they are, special
+    ones too; ids it lacks are passed over. Null lists decode to empty text.
+    """
+
     source = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(_decoding(path), f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode`` of ``encode``, with one worker to a task, which passes on the ids of
+    a slice at a time: of two, both would stay beside the stages that follow."""
+    encoding, decoding = _encoding(path), _decoding(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from decoding(encoding(batches))
+
+    source, kind = _texts(docs, id_col, text_col)
     return source.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 

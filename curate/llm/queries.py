@@ -93,8 +93,7 @@ def op7_decontaminate(spark, sf_dir):
 
 @query
 def op8_bpe(spark, sf_dir):
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY)
-    return bpe.digests(bpe.decode(encoded, VOCABULARY))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
 @query

@@ -80,3 +80,13 @@ def test_decoding_needs_no_encoder(spark, monkeypatch):
     monkeypatch.setattr(Vocabulary, "read", no_encoder)
     library = Tokenizer.from_file(PATH)
     assert bpe.token_names(PATH) == {i: t for t, i in library.get_vocab(with_added_tokens=True).items()}
+
+
+def test_round_trip_takes_one_worker_per_task(spark):
+    from curate.llm.queries import QUERIES
+
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, None, "x")], "doc_id long, text string, ids string")
+    sort = lambda df: sorted(map(str, df.collect()))
+    assert sort(bpe.round_trip(docs, PATH)) == sort(bpe.decode(bpe.encode(docs, PATH), PATH))
+    plan = QUERIES["op8_bpe"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
