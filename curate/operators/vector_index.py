@@ -29,6 +29,8 @@ SAMPLE_PER_PIVOT = 32
 ROUNDS = 6
 # Angles are known to about 1e-8 where they are small.
 SLACK = 1e-6
+# Rows of questions with their vectors, one per cell, that a task makes at once.
+PROBE_ROWS = 16_384
 
 
 @dataclass(frozen=True)
@@ -146,9 +148,10 @@ def _probes(questions: DataFrame, index: VectorIndex, first: bool, probes: int |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
+        step = max(1, PROBE_ROWS // max(1, len(count)))
         for whole in batches if len(count) else ():
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 bound = index.bounds(_matrix(batch.column("vec")))
                 order = np.argsort(-bound, axis=1, kind="stable")
                 ahead = np.cumsum(count[order], axis=1) - count[order]
@@ -164,6 +167,7 @@ def _probes(questions: DataFrame, index: VectorIndex, first: bool, probes: int |
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(index.cells["cell"][cell].astype("int32")), pa.array(count[cell])], schema=out
                 )
+        pa.default_memory_pool().release_unused()
 
     return questions.mapInArrow(run, schema)
 

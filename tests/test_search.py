@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curate.functions.vectors import cosine
-from curate.operators import knn
+from curate.operators import knn, vector_index
 from curate.operators.knn import knn_and_extremes, knn_join
 from curate.operators.vector_index import build_index, search_index
 from curate.session import work_path
@@ -255,3 +255,22 @@ def test_sparse_questions_score_as_whole_ones():
     assert block.support.shape[1] <= 5
     row, which = np.divmod(np.arange(300), 6)
     assert (block.scores(docs, row, which) == knn._dots(docs[row].astype("float64"), asked[which])).all()
+
+
+def test_probes_are_made_in_batches_of_bounded_size(spark):
+    q, d, _, _ = frames(spark, n_docs=600, n_questions=1)
+    index = build_index(d, work_path(spark, "index"))
+    made = []
+
+    class Asked:
+        schema = q.withColumns({"k": F.lit(3), "floor": F.lit(-2.0)}).schema
+
+        def mapInArrow(self, run, schema):
+            rows = vectors(4000)
+            vec = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), rows.shape[1]).cast(pa.list_(pa.float32()))
+            columns = [pa.array(range(len(rows)), pa.int32()), vec, pa.array([3] * len(rows), pa.int32()), pa.array([-2.0] * len(rows))]
+            made.extend(run(iter([pa.RecordBatch.from_arrays(columns, self.schema.names)])))
+
+    vector_index._probes(Asked(), index, False, None)
+    assert sum(b.num_rows for b in made) > 10 * vector_index.PROBE_ROWS
+    assert max(b.num_rows for b in made) <= vector_index.PROBE_ROWS
