@@ -42,7 +42,7 @@ BLOCK_ROWS = 16_384
 # A chunk of documents is closed when it has so many rows or bytes: files of
 # questions are read once for each, so its size does not follow theirs.
 CHUNK_ROWS = 65_536
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 
 LOWEST, HIGHEST = "lowest", "highest"
 # Names that carried columns will not have.
@@ -219,7 +219,8 @@ class _Chunk:
         floor = asked.floor[which].copy() if everywhere else np.full(len(which), -np.inf)
         allowed = asked.allowed(self.groups)
         questions = _scaled(asked.vectors[which], asked.length[which])
-        step = max(1, _CELLS // len(which))
+        # A slice is copied in double precision, so its numbers are bounded as its scores are.
+        step = max(1, _CELLS // max(len(which), self.vectors.shape[1]))
         for at in range(0, len(rows), step):
             hits = self._slice(rows[at : at + step], asked, which, questions, ks, floor, allowed, hits)
         if everywhere:

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -274,3 +275,19 @@ def test_probes_are_made_in_batches_of_bounded_size(spark):
     vector_index._probes(Asked(), index, False, None)
     assert sum(b.num_rows for b in made) > 10 * vector_index.PROBE_ROWS
     assert max(b.num_rows for b in made) <= vector_index.PROBE_ROWS
+
+
+def test_few_questions_copy_few_documents_at_once():
+    def table(n, **columns):
+        rows = vectors(n, dim=256)
+        vec = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 256), pa.array(rows.ravel()))
+        return pa.table({"vec": vec, **{c: np.resize(v, n) for c, v in columns.items()}})
+
+    chunk = knn._Chunk(table(32_768, doc_id=np.arange(32_768)))
+    asked = knn._Questions(table(51, question_id=np.arange(51), k=np.int32(3), end=np.int32(0), floor=-np.inf))
+    tracemalloc.start()
+    try:
+        chunk.best(asked)
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
