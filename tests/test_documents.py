@@ -1,8 +1,10 @@
 import numpy as np
+from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from curate.operators.documents import build_documents, citation
-from curate.operators.embed import embed
+from curate.operators.embed import WORD_PATTERN, embed
 from curate.plans import medallion
 
 
@@ -81,3 +83,17 @@ def test_other_encoder(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "doc_id int, text string")
     got = {r.doc_id: r.vec for r in embed(df, encoder=lengths).collect()}
     assert np.allclose(got[1], np.array([3, 1]) / 10**0.5) and not np.any(got[2])
+
+
+def test_default_vectors_are_unit_counts_of_hashing_tf(spark):
+    texts = ["", None, "a", "ab ab", "abc, abcd ABCDE", "Ünï ΑΣ 日本語 é ½ x_y", "x" * 999, "!!", "KK İstanbul", "a-1 B2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = F.regexp_extract_all(F.lower("text"), F.lit(WORD_PATTERN), F.lit(0))
+    words_of = df.withColumn("w", F.coalesce(found, F.array().cast("array<string>")))
+    for dim in (256, 37):
+        counts = HashingTF(numFeatures=dim, inputCol="w", outputCol="c").transform(words_of)
+        unit = Normalizer(inputCol="c", outputCol="u").transform(counts).select("id", vector_to_array("u", "float32").alias("vec"))
+        got = embed(df, dim=dim)
+        assert sorted(got.select("id", "vec").collect()) == sorted(unit.collect())
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "UDF(" not in plan  # no row-wise vector functions on the JVM
