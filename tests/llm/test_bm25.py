@@ -85,3 +85,51 @@ def test_empty_tables(spark):
     assert search.search(docs.limit(0), docs).collect() == []
     assert search.search(docs, docs.limit(0)).collect() == []
     assert [tuple(r)[:3] for r in search.search(docs, docs).collect()] == [(1, 1, 1)]
+
+
+def test_like_documents_share_a_group_and_other_groups_stay_closed(monkeypatch):
+    """Documents of four vocabularies in turn: a query opens those of its own only, and
+    finds what adding up every document finds."""
+    rng = random.Random(1)
+    texts = [" ".join(f"{'abcd'[i % 4]}{rng.randrange(60)}" for _ in range(40)) + f" only{i}" for i in range(2400)]
+    part = pa.RecordBatch.from_arrays([pa.array(range(2400), pa.int64()), pa.array(texts)], ["id", "text"])
+    shard = search.Shard([part], 41.0)
+    assert len(shard.groups) >= 4
+    assert all(len({i % 4 for i in g.rows.tolist()}) == 1 for g in shard.groups)
+    assert sorted(np.concatenate([g.rows for g in shard.groups])) == list(range(2400))
+    opened = []
+    real = search.Group._sums
+    monkeypatch.setattr(search.Group, "_sums", lambda self, which, term, frequent, n: opened.append(n * len(self.rows)) or real(self, which, term, frequent, n))
+    text, terms, _, lengths = search._pairs(part.slice(0, 200))
+    found = [np.concatenate(c) for c in zip(*shard.answers(text, terms, np.full(len(terms), 4.0), 5))]
+    assert sum(opened) <= 200 * 2400 / 3
+    _, all_terms, count, length = search._pairs(part)
+    doc = np.repeat(np.arange(2400), np.diff(np.append(np.flatnonzero(np.append(True, np.diff(search._pairs(part)[0]) > 0)), len(all_terms))))
+    weight = np.rint(4.0 * count * (search.K1 + 1) / (count + search.K1 * (1 - search.B + search.B * length[doc] / 41.0)) * search.UNIT)
+    for q in range(0, 200, 9):
+        own = np.isin(all_terms, terms[text == q])
+        score = np.bincount(doc[own], weight[own], 2400)
+        kth = np.sort(score)[-5]
+        got = {(d, s) for a, d, s in zip(*found) if a == q and s >= kth}
+        assert got == {(d, score[d]) for d in np.flatnonzero(score >= kth)}
+
+
+@pytest.mark.parametrize("postings,worth", [(1, 0), (7, 10**9), (65_536, 256)])
+def test_sums_do_not_depend_on_how_they_are_made(monkeypatch, postings, worth):
+    monkeypatch.setattr(search, "POSTINGS", postings)
+    monkeypatch.setattr(search, "WORTH", worth)
+    monkeypatch.setattr(search, "GROUP_DOCS", 100)
+    docs, _ = sample()
+    part = pa.RecordBatch.from_arrays([pa.array(range(len(docs)), pa.int64()), pa.array([t or "" for _, t in docs])], ["id", "text"])
+    shard = search.Shard([part], 35.0)
+    text, terms, _, _ = search._pairs(part.slice(0, 40))
+    got = {(q, d, s) for c in shard.answers(text, terms, np.full(len(terms), 1.5), 1000) for q, d, s in zip(*c)}
+    _, words, count, length = search._pairs(part)
+    doc = search._pairs(part)[0]
+    weight = np.rint(1.5 * count * (search.K1 + 1) / (count + search.K1 * (1 - search.B + search.B * length[doc] / 35.0)) * search.UNIT)
+    want = set()
+    for q in np.unique(text):
+        own = np.isin(words, terms[text == q])
+        score = np.bincount(doc[own], weight[own], len(docs))
+        want |= {(q, d, score[d]) for d in np.flatnonzero(score)}
+    assert got == want
