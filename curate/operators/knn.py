@@ -47,6 +47,8 @@ CHUNK_BYTES = 16 << 20
 LOWEST, HIGHEST = "lowest", "highest"
 # Names that carried columns will not have.
 VALUE, GROUP = "searched_value", "searched_group"
+# Bits of the cells that a question opens.
+OPENED = "opened"
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dtype: str | None = "float64") -> np.ndarray:
@@ -144,6 +146,21 @@ class _Questions:
             return None
         return np.sort(np.argsort(~filled, axis=1, kind="stable")[:, :most], axis=1)
 
+    def only(self, rows: np.ndarray) -> _Questions:
+        """The questions ``rows``, with the floors they have by now."""
+        if len(rows) == len(self.ks):
+            return self
+        some = _Questions(self.table.take(pa.array(rows)))
+        some.floor = self.floor[rows]
+        return some
+
+    def opening(self, bit: int) -> np.ndarray:
+        """Which questions have the ``bit`` set in their ``OPENED``."""
+        column = self.table.column(OPENED).combine_chunks()
+        at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)[:-1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)
+        return np.flatnonzero((data[at + (bit >> 3)] >> (7 - (bit & 7))) & 1)
+
     def scores(self, vectors: np.ndarray, row: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Exactly rounded scores of the documents ``row`` for the questions ``which``."""
         out = np.empty(len(row))
@@ -316,9 +333,10 @@ def _hits(chunk: _Chunk, asked: _Questions, schema: pa.Schema) -> pa.Table:
     return pa.table([c if c.type == f.type else c.cast(f.type) for c, f in zip(found, schema)], schema=schema)
 
 
-def write_questions(questions: DataFrame, k: int, block_rows: int) -> tuple[str, T.DataType, int]:
+def write_questions(questions: DataFrame, k: int, block_rows: int, merge: bool = True) -> tuple[str, T.DataType, int]:
     """Questions as files of at most ``block_rows`` rows; gives their folder, the
-    type of their ids and the largest k."""
+    type of their ids and the largest k. Without ``merge`` they are written as they
+    come, with no shuffle, and small files are joined by their readers only."""
     spark = questions.sparkSession
     given = set(questions.columns)
     asked = questions.select(
@@ -328,11 +346,12 @@ def write_questions(questions: DataFrame, k: int, block_rows: int) -> tuple[str,
         (F.col("end") if "end" in given else F.lit(0)).cast("int").alias("end"),
         (F.col("floor") if "floor" in given else F.lit(float("-inf"))).alias("floor"),
         *(["groups"] if "groups" in given else []),
-        *(["cell"] if "cell" in given else []),
+        *(c for c in ("cell", OPENED, "n") if c in given),
     ).where(F.col("vec").isNotNull() & (F.col("k") > 0))
     folder = work_path(spark, "questions")
     # Merged to files of fair size, split where one cell is asked by very many.
-    writer = asked.hint("rebalance", *([F.col("cell")] if "cell" in given else [])).write.option("maxRecordsPerFile", block_rows)
+    merged = asked.hint("rebalance", *([F.col("cell")] if "cell" in given else [])) if merge else asked
+    writer = merged.write.option("maxRecordsPerFile", block_rows)
     (writer.partitionBy("cell") if "cell" in given else writer).parquet(folder)
     written = spark.read.schema(asked.schema).parquet(folder)
     most = written.agg(F.max("k")).first()[0] if "k" in given else k
@@ -340,11 +359,13 @@ def write_questions(questions: DataFrame, k: int, block_rows: int) -> tuple[str,
 
 
 def scan(
-    docs: DataFrame, folder: str, question_type: T.DataType, carry: list[str], by_cell: bool = False
+    docs: DataFrame, folder: str, question_type: T.DataType, carry: list[str], by_cell: bool = False,
+    bits: dict[int, int] | None = None,
 ) -> DataFrame:
     """Hits of every chunk of ``docs``: question_id, doc_id, score, k, edge and the
     columns to ``carry``. With ``by_cell`` the questions of a document's cell are
-    asked only, and a chunk has one cell."""
+    asked only, and a chunk has one cell: those in the cell's folder or, with ``bits``,
+    those that have the cell's bit set in ``OPENED``."""
     fields = [T.StructField("question_id", question_type), docs.schema["doc_id"]]
     fields += [T.StructField(n, t) for n, t in (("score", T.DoubleType()), ("k", T.IntegerType()), ("edge", T.DoubleType()))]
     schema = T.StructType([*fields, *(docs.schema[c] for c in carry)])
@@ -354,6 +375,9 @@ def scan(
         floors: dict[tuple[int | None, int], np.ndarray] = {}
         for table in _gathered(batches, CHUNK_ROWS, CHUNK_BYTES):
             cells = pc.unique(table.column("cell")).to_pylist() if by_cell else [None]
+            if bits is not None:
+                yield from _by_bits({c: _Chunk(table.filter(pc.equal(table.column("cell"), c))) for c in cells}, floors, out)
+                continue
             # Cells come in order, so those of earlier chunks are done with.
             floors = {at: floor for at, floor in floors.items() if at[0] in cells}
             for cell in cells:
@@ -367,6 +391,19 @@ def scan(
                     floors[cell, i] = asked.floor
         pa.default_memory_pool().release_unused()
 
+    def _by_bits(chunks: dict[int, _Chunk], floors: dict, out: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Each block of questions is read once for the cells of all ``chunks``."""
+        for i, asked in enumerate(_read(*_files(folder))):
+            # The blocks are the same for all cells, so each cell rules out more of the next.
+            asked.floor = np.maximum(asked.floor, floors.get((None, i), asked.floor))
+            for cell, chunk in chunks.items():
+                rows = asked.opening(bits[cell])
+                if len(rows):
+                    some = asked.only(rows)
+                    yield from _hits(chunk, some, out).to_batches()
+                    asked.floor[rows] = some.floor
+            floors[None, i] = asked.floor
+
     return docs.mapInArrow(run, schema)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from curate.fixed_values import DEFAULT_K
-from curate.operators.knn import BLOCK_ROWS, _matrix, ranked, scan, searched, write_questions
+from curate.operators.knn import BLOCK_ROWS, OPENED, _matrix, ranked, scan, searched, write_questions
 from curate.session import work_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -139,39 +139,88 @@ class Searched:
     scored: DataFrame
 
 
+def _opening(index: VectorIndex, batch: pa.RecordBatch, first: bool, probes: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Per question the places of the cells, best bound first, and which of these to open.
+    The ``first`` ones hold k documents or are ``probes`` in number; later all others
+    whose bound the question's ``floor`` does not beat."""
+    count = index.cells["n"]
+    bound = index.bounds(_matrix(batch.column("vec")))
+    order = np.argsort(-bound, axis=1, kind="stable")
+    ahead = np.cumsum(count[order], axis=1) - count[order]
+    k = batch.column("k").to_numpy()[:, None]
+    opened = (np.arange(bound.shape[1])[None, :] < probes) if probes else ahead < k
+    opened = np.broadcast_to(opened, bound.shape)
+    if not first:
+        floor = batch.column("floor").to_numpy()[:, None]
+        opened = ~opened & (np.take_along_axis(bound, order, 1) >= floor)
+    return order, opened
+
+
+def _steps(batches: Iterator[pa.RecordBatch], index: VectorIndex) -> Iterator[pa.RecordBatch]:
+    """Questions that with every cell make at most ``PROBE_ROWS`` rows."""
+    step = max(1, PROBE_ROWS // max(1, len(index.cells["n"])))
+    for whole in batches if len(index.cells["n"]) else ():
+        yield from (whole.slice(at, step) for at in range(0, whole.num_rows, step))
+
+
 def _probes(questions: DataFrame, index: VectorIndex, first: bool, probes: int | None) -> DataFrame:
-    """A row per question and cell to open. The ``first`` ones hold k documents or
-    are ``probes`` in number, best bound first; later all others whose bound the
-    question's ``floor`` does not beat."""
+    """A row with the question per question and cell to open, for few cells to a question."""
     schema = T.StructType([*questions.schema, T.StructField("cell", T.IntegerType()), T.StructField("n", T.LongType())])
-    count = index.cells["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
-        step = max(1, PROBE_ROWS // max(1, len(count)))
-        for whole in batches if len(count) else ():
-            for at in range(0, whole.num_rows, step):
-                batch = whole.slice(at, step)
-                bound = index.bounds(_matrix(batch.column("vec")))
-                order = np.argsort(-bound, axis=1, kind="stable")
-                ahead = np.cumsum(count[order], axis=1) - count[order]
-                k = batch.column("k").to_numpy()[:, None]
-                opened = (np.arange(bound.shape[1])[None, :] < probes) if probes else ahead < k
-                opened = np.broadcast_to(opened, bound.shape)
-                if not first:
-                    floor = batch.column("floor").to_numpy()[:, None]
-                    opened = ~opened & (np.take_along_axis(bound, order, 1) >= floor)
-                q, place = np.nonzero(opened)
-                cell = order[q, place]
-                columns = batch.take(pa.array(q)).columns
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(index.cells["cell"][cell].astype("int32")), pa.array(count[cell])], schema=out
-                )
+        for batch in _steps(batches, index):
+            order, opened = _opening(index, batch, first, probes)
+            q, place = np.nonzero(opened)
+            cell = order[q, place]
+            columns = batch.take(pa.array(q)).columns
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(index.cells["cell"][cell].astype("int32")), pa.array(index.cells["n"][cell])], schema=out
+            )
+        pa.default_memory_pool().release_unused()
+
+    return questions.mapInArrow(run, schema)
+
+
+def _masks(questions: DataFrame, index: VectorIndex, first: bool) -> DataFrame:
+    """The questions that open some cell, once each: a bit per cell of the index in
+    ``OPENED``, and how many documents ``n`` these cells hold."""
+    schema = T.StructType([*questions.schema, T.StructField(OPENED, T.BinaryType()), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = to_arrow_schema(schema)
+        for batch in _steps(batches, index):
+            order, opened = _opening(index, batch, first, None)
+            mask = np.zeros(opened.shape, bool)
+            np.put_along_axis(mask, order, opened, 1)
+            some = np.flatnonzero(mask.any(1))
+            bits = np.packbits(mask[some], axis=1)
+            packed = pa.Array.from_buffers(pa.binary(bits.shape[1]), len(some), [None, pa.py_buffer(bits.tobytes())])
+            added = [packed.cast(pa.binary()), pa.array(mask[some] @ index.cells["n"])]
+            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(some)).columns, *added], schema=out)
         pa.default_memory_pool().release_unused()
 
     return questions.mapInArrow(run, schema)
 
 
+def _any_opened(masked: DataFrame, index: VectorIndex) -> list[int]:
+    """Cells that some question opens, at most as many as the index has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = -(-len(index.cells["n"]) // 8)
+        held = np.zeros(width, np.uint8)
+        for batch in batches:
+            if batch.num_rows:
+                held |= np.bitwise_or.reduce(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, width), 0)
+        yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], ["held"])
+
+    bits = [np.frombuffer(r.held, np.uint8) for r in masked.select(OPENED).mapInArrow(run, "held binary").collect()]
+    if not bits or not len(index.cells["n"]):
+        return []
+    held = np.unpackbits(np.bitwise_or.reduce(bits, 0), count=len(index.cells["n"])).astype(bool)
+    return index.cells["cell"][held].tolist()
+
+
 def search_index(
     questions: DataFrame, index: VectorIndex, k: int = DEFAULT_K, probes: int | None = None,
     group: str | None = None, block_rows: int = BLOCK_ROWS,
@@ -194,19 +243,30 @@ def search_index(
     opened_paths, hit_paths, most = [], [], 0
     floors = None
     for first in (True, False) if probes is None else (True,):
-        wanted = asked if floors is None else asked.join(floors, "question_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-        path = work_path(spark, "probes")
-        probe = _probes(wanted, index, first, probes)
-        probe.write.parquet(path)
-        probe = spark.read.schema(probe.schema).parquet(path)
-        opened_paths.append(probe.select("question_id", "n"))
-        # At most as many as the index has cells.
-        cells = [r[0] for r in probe.select("cell").distinct().collect()]
-        folder, kind, largest = write_questions(probe.drop("n"), k, block_rows)
+        wanted = asked
+        if floors is not None:
+            wanted = asked.join(floors, "question_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        if probes is None:
+            # A question may open nearly all cells, so it is written once, with a bit for each.
+            folder, kind, largest = write_questions(_masks(wanted, index, first), k, block_rows, merge=False)
+            masked = spark.read.schema(T.StructType([T.StructField("question_id", kind), T.StructField(OPENED, T.BinaryType()), T.StructField("n", T.LongType())])).parquet(folder)
+            cells = _any_opened(masked, index)
+            opened_paths.append(masked.select("question_id", "n"))
+            bits = {cell: i for i, cell in enumerate(index.cells["cell"].tolist())}
+        else:
+            path = work_path(spark, "probes")
+            probe = _probes(wanted, index, first, probes)
+            probe.write.parquet(path)
+            probe = spark.read.schema(probe.schema).parquet(path)
+            # At most as many as the index has cells.
+            cells = [r[0] for r in probe.select("cell").distinct().collect()]
+            folder, kind, largest = write_questions(probe.drop("n"), k, block_rows)
+            opened_paths.append(probe.select("question_id", "n"))
+            bits = None
         most = max(most, largest)
         among = searched(docs.where(F.col("cell").isin(cells)), ["cell"], None, group)
         path = work_path(spark, "hits")
-        best = ranked(scan(among, folder, kind, [], by_cell=True), most).drop("rank")
+        best = ranked(scan(among, folder, kind, [], by_cell=True, bits=bits), most).drop("rank")
         best.write.parquet(path)
         hits = spark.read.schema(best.schema).parquet(path)
         hit_paths.append(hits)

@@ -291,3 +291,38 @@ def test_few_questions_copy_few_documents_at_once():
         assert tracemalloc.get_traced_memory()[1] < 64 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_questions_that_open_many_cells_are_written_once(spark):
+    """On vectors without clusters nearly every question opens nearly every cell; what is
+    kept does not grow with their number, and the hits are those of the scan."""
+    docs = vectors(1500, dim=32)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(docs)], "doc_id int, vec array<float>")
+    q = d.withColumnRenamed("doc_id", "question_id")
+    index = build_index(d, work_path(spark, "index"), pivots=16, rings=3)
+    before = kept_bytes(spark)
+    found = search_index(q, index, 3)
+    written = kept_bytes(spark) - before
+    assert sum(r.scored for r in found.scored.collect()) > 0.5 * 1500 * 1500
+    assert got(found.hits) == got(knn_join(q, d, 3))
+    assert written < 4 * docs.nbytes
+
+
+def kept_bytes(spark):
+    system = spark._jvm.org.apache.hadoop.fs.Path(work_path(spark, "x")).getParent()
+    return system.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(system).getLength()
+
+
+def test_cells_opened_by_bits():
+    rows = vectors(20)
+    held = np.random.default_rng(0).random((20, 11)) < 0.4
+    bits = [b.tobytes() for b in np.packbits(held, axis=1)]
+    vec = pa.array(rows.tolist(), pa.list_(pa.float32()))
+    table = pa.table({"question_id": range(20), "vec": vec, "k": [1] * 20, "end": [0] * 20, "floor": [0.0] * 20, knn.OPENED: pa.array(bits, pa.binary())})
+    for asked, own in ((knn._Questions(table), held), (knn._Questions(table.slice(7)), held[7:])):
+        for bit in range(11):
+            opening = asked.opening(bit)
+            assert opening.tolist() == np.flatnonzero(own[:, bit]).tolist()
+            some = asked.only(opening)
+            assert some.table.column("question_id").to_pylist() == [asked.table.column("question_id")[i].as_py() for i in opening]
+            assert (some.vectors == asked.vectors[opening]).all()
