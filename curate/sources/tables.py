@@ -74,18 +74,29 @@ def publish_run(spark: SparkSession, root: str, run: str) -> None:
     folder, system = _published(spark, root)
     system.mkdirs(folder)
     number = max(_numbers(system, folder), default=-1) + 1
-    while True:
-        place = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}")
+    while not _written_first(system, spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}"), run.encode()):
+        number += 1
+
+
+def _written_first(system, place, text: bytes) -> bool:
+    """Write ``text`` to the file ``place``, or nothing if somebody else has made it."""
+    if system.getUri().getScheme() == "file":
+        # Hadoop's local files are looked for first and made then, so two can make one.
         try:
-            out = system.create(place, False)
-        except Py4JJavaError:
-            if not system.exists(place):
-                raise
-            number += 1
-            continue
-        out.write(bytearray(run.encode()))
-        out.close()
-        return
+            with open(place.toUri().getPath(), "xb") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = system.create(place, False)
+    except Py4JJavaError:
+        if not system.exists(place):
+            raise
+        return False
+    out.write(bytearray(text))
+    out.close()
+    return True
 
 
 def published_runs(spark: SparkSession, root: str) -> list[str]:
